@@ -15,7 +15,8 @@ class LakeConfig:
 
     ``root`` and ``source_root`` take any Hadoop URI. ``source_format`` is ``json`` or
     ``parquet`` for document files under ``source_root/<collection>``, or a connector
-    such as ``mongodb`` whose settings go into ``source_options``.
+    such as ``mongodb`` whose settings go into ``source_options``. ``write_partitions`` is
+    the number of hash partitions in front of a write partitioned by date.
     """
 
     root: str
@@ -24,6 +25,7 @@ class LakeConfig:
     raw_prefix: str = "raw."
     clean_prefix: str = "clean."
     retention_hours: float = 1.0
+    write_partitions: int | None = None
     source_root: str | None = None
     source_format: str = "json"
     source_options: dict[str, str] = field(default_factory=dict)
@@ -61,6 +63,7 @@ class LakeConfig:
             raw_prefix=conf.get("rawPrefix", cls.raw_prefix),
             clean_prefix=conf.get("cleanPrefix", cls.clean_prefix),
             retention_hours=float(conf.get("retentionHours", cls.retention_hours)),
+            write_partitions=int(conf["writePartitions"]) if "writePartitions" in conf else None,
             source_root=conf.get("source.root"),
             source_format=conf.get("source.format", cls.source_format),
             source_options=below("source.option."),

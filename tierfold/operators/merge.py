@@ -120,9 +120,14 @@ def merge_into(
     key: str = "mongoId",
     guard: str = "partitionDate",
     table_format: str = "parquet",
+    target: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> MergeStats | None:
     """Upsert into the table at ``path``, which is partitioned by ``guard``.
 
+    ``target`` is a scan of that table if the caller has one; ``partitions`` is passed to
+    the writers.
+
     Delta tables use Delta's own MERGE (no statistics). Other tables:
 
     1. count the source keys and refuse ambiguous ones;
@@ -139,7 +144,8 @@ def merge_into(
         _merge_delta(spark, path, source, key, guard)
         return None
 
-    target = scan_layer(spark, path, table_format)
+    if target is None:
+        target = scan_layer(spark, path, table_format)
     source_rows = check_source(target, source, key)
     if source_rows == 0:
         return MergeStats(0, 0, 0)
@@ -158,17 +164,17 @@ def merge_into(
         inserts = stage.df.where(F.col(ACTION) == INSERT).drop(ACTION)
         if stats.updated == 0:
             if stats.inserted:
-                append_partitioned(inserts, path, table_format, guard)
+                append_partitioned(inserts, path, table_format, guard, partitions)
         else:
             touched, inserts_there, inserts_elsewhere = _split_by_dates(
                 target, updates, inserts, guard
             )
             if stats.inserted:
-                append_partitioned(inserts_elsewhere, path, table_format, guard)
+                append_partitioned(inserts_elsewhere, path, table_format, guard, partitions)
             rewritten = _updated(touched, updates, key, guard)
             if stats.inserted:
                 rewritten = rewritten.unionByName(inserts_there, allowMissingColumns=True)
-            overwrite_partitions(rewritten, path, table_format, guard)
+            overwrite_partitions(rewritten, path, table_format, guard, partitions)
     if stats.dropped:
         log.warning("%s: %d source rows dropped, their %s differs", path, stats.dropped, guard)
     return stats

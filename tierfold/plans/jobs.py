@@ -60,7 +60,12 @@ def raw_ingest(
         log.warning("%s: no documents", collection)
         return 0
     path = config.raw_path(collection)
-    rows = append_partitioned(with_raw_partition(documents), path, config.table_format)
+    rows = append_partitioned(
+        with_raw_partition(documents),
+        path,
+        config.table_format,
+        partitions=config.write_partitions,
+    )
     log.info("%s: %d rows appended", path, rows)
     return rows
 
@@ -85,10 +90,12 @@ def clean_load(spark: SparkSession, config: LakeConfig, collection: str) -> Merg
         log.warning("%s: nothing to clean", collection)
         return None
     path = config.clean_path(collection)
-    if table_or_none(spark, path, config.table_format) is None:
-        written = create_partitioned(rows, path, config.table_format)
+    target = table_or_none(spark, path, config.table_format)
+    layout = {"table_format": config.table_format, "partitions": config.write_partitions}
+    if target is None:
+        written = create_partitioned(rows, path, **layout)
         return MergeStats(written, 0, written)
-    return merge_into(spark, path, rows, table_format=config.table_format)
+    return merge_into(spark, path, rows, target=target, **layout)
 
 
 def _load_mart(df: DataFrame | None, mart: Mart, table: str) -> int:
@@ -153,8 +160,10 @@ def document_copy(
         return 0
     rows = copy_column(with_raw_partition(documents))
     if as_json:
-        return append_json(rows, path)
-    return append_partitioned(rows, path, config.table_format)
+        return append_json(rows, path, partitions=config.write_partitions)
+    return append_partitioned(
+        rows, path, config.table_format, partitions=config.write_partitions
+    )
 
 
 def object_store_rows(spark: SparkSession, *uris: str) -> DataFrame:

@@ -96,6 +96,26 @@ def test_date_range_excludes_both_ends_and_anonymous(spark):
     assert [r[0] for r in found] == [2, 4]
 
 
+def test_sort_spreads_copies_of_one_key(spark):
+    copies = spark.range(0, 60_000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("_id"),
+        F.lit(datetime(2020, 3, 13)).alias("lastUpdated"),
+        F.struct(F.lit(False).alias("value")).alias("isAnonymous"),
+    )
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        result = scan_by_date_range(copies, datetime(2020, 3, 12), datetime(2020, 3, 15))
+        assert result.columns == copies.columns
+        placed = result.select("_id", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set(key, before)
+    ids = [r["_id"] for r in placed]
+    assert len(ids) == 60_000 and ids == sorted(ids)
+    assert len({r["p"] for r in placed if r["_id"] == 7}) > 1
+
+
 def test_null_user_type_is_dropped(spark):
     users = spark.createDataFrame([("PATIENT",), (None,), ("STAFF",)], "userType STRING")
     assert only_patients(users).count() == 1

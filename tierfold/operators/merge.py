@@ -12,6 +12,7 @@ keep their value on update and are null on insert.
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -221,10 +222,14 @@ def _merge_delta(
     spark: SparkSession, path: str, source: DataFrame, key: str, guard: str
 ) -> None:
     spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
-    source.createOrReplaceTempView("merge_source")
-    spark.sql(
-        f"""MERGE INTO delta.`{path}` AS old USING merge_source AS new
-            ON new.{key} = old.{key}
-            WHEN MATCHED AND new.{guard} = old.{guard} THEN UPDATE SET *
-            WHEN NOT MATCHED THEN INSERT *"""
-    )
+    view = f"merge_source_{uuid.uuid4().hex}"
+    source.createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"""MERGE INTO delta.`{path}` AS old USING {view} AS new
+                ON new.{key} = old.{key}
+                WHEN MATCHED AND new.{guard} = old.{guard} THEN UPDATE SET *
+                WHEN NOT MATCHED THEN INSERT *"""
+        )
+    finally:
+        spark.catalog.dropTempView(view)

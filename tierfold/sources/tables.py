@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StructType
 
 PARTITION_COLUMN = "partitionDate"
-ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "DELTA_TABLE_NOT_FOUND",
-          "DELTA_PATH_DOES_NOT_EXIST")
+ABSENT = (
+    "PATH_NOT_FOUND",
+    "UNABLE_TO_INFER_SCHEMA",
+    "DELTA_MISSING_DELTA_TABLE",
+    "DELTA_PATH_DOES_NOT_EXIST",
+    "DELTA_TABLE_NOT_FOUND",
+)
 
 
 def scan_layer(

@@ -96,6 +96,20 @@ def test_date_range_excludes_both_ends_and_anonymous(spark):
     assert [r[0] for r in found] == [2, 4]
 
 
+def test_date_range_without_zone_ignores_the_session_zone(spark):
+    documents = spark.createDataFrame(
+        [(1, datetime(2020, 3, 12, 0, 0, 1), (False,))],
+        "_id BIGINT, lastUpdated TIMESTAMP_NTZ, isAnonymous STRUCT<value: BOOLEAN>",
+    )
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        found = scan_by_date_range(documents, datetime(2020, 3, 12), datetime(2020, 3, 13)).count()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == 1
+
+
 def test_sort_spreads_copies_of_one_key(spark):
     copies = spark.range(0, 60_000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).cast("bigint").alias("_id"),

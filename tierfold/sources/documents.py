@@ -89,6 +89,8 @@ def scan_by_date_range(
     the ranges that the sort hands to its tasks.
     """
     kind = documents.schema[column].dataType
-    inside = (F.col(column) > F.lit(low).cast(kind)) & (F.col(column) < F.lit(high).cast(kind))
+    # As text, so that a value without zone is not moved between the zones of driver and session.
+    first, last = (F.lit(end.isoformat(sep=" ")).cast(kind) for end in (low, high))
+    inside = (F.col(column) > first) & (F.col(column) < last)
     known = F.col("isAnonymous.value") == F.lit(False)
     return documents.where(inside & known).orderBy(key, F.monotonically_increasing_id())

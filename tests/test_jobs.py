@@ -9,7 +9,7 @@ from tierfold.config import LakeConfig
 from tierfold.operators.merge import DuplicateSourceKeys
 from tierfold.plans import jobs
 from tierfold.sinks import FileMart
-from tierfold.sources import scan_layer, table_or_none
+from tierfold.sources import SchemaMismatch, scan_layer, table_or_none
 
 
 @pytest.fixture
@@ -81,6 +81,19 @@ def test_reingested_rows_are_refused_by_the_merge(spark, lake, patients):
         jobs.clean_load(spark, config, "patient")
 
 
+def test_documents_of_other_types_are_refused(spark, lake, patients):
+    config, _ = lake
+    jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
+    changed = patients.withColumn("active", F.struct(F.lit("yes").alias("value")))
+    with pytest.raises(SchemaMismatch, match="active.value is boolean, not string"):
+        jobs.raw_ingest(spark, put(spark, config, "patient", changed), "patient")
+    grown = patients.withColumn("active", F.struct("active.value", F.lit("x").alias("note")))
+    jobs.raw_ingest(spark, put(spark, config, "patient", grown.withColumn("extra", F.lit(1))), "patient")
+    raw = scan_layer(spark, config.raw_path("patient"))
+    assert raw.count() == 2 * patients.count()
+    assert raw.where("active.note IS NOT NULL AND extra = 1").count() == patients.count()
+
+
 def test_nothing_is_written_without_input(spark, lake, patients):
     config, mart = lake
     empty = put(spark, config, "patient", patients.limit(0))

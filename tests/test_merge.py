@@ -160,6 +160,15 @@ def test_columns_of_either_side_only(spark, tmp_path):
     assert rows_of(scan_layer(spark, path), *names) == expected
 
 
+def test_shared_columns_keep_the_type_of_the_target(spark, tmp_path):
+    path = written(spark, tmp_path, [(1, "a", D1), (2, "b", D2)])
+    source = frame(spark, [(1, 10, D1), (3, 30, D3)], "mongoId INT, v INT, partitionDate DATE")
+    merge.merge_into(spark, path, source)
+    expected = [(1, "10", D1), (2, "b", D2), (3, "30", D3)]
+    assert rows_of(scan_layer(spark, path)) == expected
+    assert scan_layer(spark, path).schema["mongoId"].dataType.simpleString() == "bigint"
+
+
 def test_hot_target_key_and_null_keys(spark, tmp_path):
     hot = [(5, f"h{i}", D1) for i in range(200)] + [(None, f"n{i}", D2) for i in range(200)]
     target = hot + [(i, "t", D3) for i in range(100, 300)]

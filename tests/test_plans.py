@@ -69,7 +69,7 @@ def test_rewrite_prunes_to_the_touched_dates(spark, sf_dir, tmp_path):
     append_partitioned(queries.merge_target(spark, sf_dir), path)
     target = scan_layer(spark, path)
     updates = target.where("partitionDate = DATE'2020-01-05'")
-    touched, _, _ = merge._split_by_dates(target, updates, updates, "partitionDate")
+    touched, *_ = merge._split_by_dates(target, updates, updates, "partitionDate")
     filters = plan(touched).split("PartitionFilters: ")[1].split("PushedFilters")[0]
     assert "2020-01-05" in filters
 

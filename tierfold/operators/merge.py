@@ -5,7 +5,7 @@ key *and* the same guard value; if the guard differs or is null the target row s
 the source row is dropped. A source row with a new or null key is inserted. Nothing is
 deleted. Two source rows for one key that is in the target are an error.
 
-Columns only the source has are added (null in other rows); columns only the target has
+Columns of both sides take the target's type. Columns only the source has are added (null in other rows); columns only the target has
 keep their value on update and are null on insert.
 """
 
@@ -73,6 +73,17 @@ def check_source(target: DataFrame, source: DataFrame, key: str = "mongoId") ->
     return totals["rows"] or 0
 
 
+def _with_types_of(target: DataFrame, source: DataFrame) -> DataFrame:
+    """The source with the target's types in the columns they share."""
+    kinds = {f.name.lower(): f.dataType for f in target.schema.fields}
+    changed = {
+        f.name: F.col(f.name).cast(kinds[f.name.lower()])
+        for f in source.schema.fields
+        if kinds.get(f.name.lower(), f.dataType).simpleString() != f.dataType.simpleString()
+    }
+    return source.withColumns(changed) if changed else source
+
+
 def _columns(target: DataFrame, source: DataFrame) -> list[str]:
     known = {name.lower() for name in target.columns}
     return target.columns + [c for c in source.columns if c.lower() not in known]
@@ -106,6 +117,7 @@ def merged(
     target: DataFrame, source: DataFrame, key: str = "mongoId", guard: str = "partitionDate"
 ) -> DataFrame:
     """The table after the upsert, as one DataFrame; nothing is written."""
+    source = _with_types_of(target, source)
     check_source(target, source, key)
     inserts = source.join(_keys(target, key), key, "left_anti")
     changed = _updated(target, source, key, guard)
@@ -127,7 +139,7 @@ def merge_into(
     """Upsert into the table at ``path``, which is partitioned by ``guard``.
 
     ``target`` is a scan of that table if the caller has one; ``partitions`` is passed to
-    the writers.
+    the writers (for rewrites it is at least the number of dates by default).
 
     Delta tables use Delta's own MERGE (no statistics). Other tables:
 
@@ -147,6 +159,7 @@ def merge_into(
 
     if target is None:
         target = scan_layer(spark, path, table_format)
+    source = _with_types_of(target, source)
     source_rows = check_source(target, source, key)
     if source_rows == 0:
         return MergeStats(0, 0, 0)
@@ -167,9 +180,11 @@ def merge_into(
             if stats.inserted:
                 append_partitioned(inserts, path, table_format, guard, partitions)
         else:
-            touched, inserts_there, inserts_elsewhere = _split_by_dates(
+            touched, inserts_there, inserts_elsewhere, dates = _split_by_dates(
                 target, updates, inserts, guard
             )
+            if partitions is None:
+                partitions = max(dates, int(spark.conf.get("spark.sql.shuffle.partitions")))
             if stats.inserted:
                 append_partitioned(inserts_elsewhere, path, table_format, guard, partitions)
             rewritten = _updated(touched, updates, key, guard)
@@ -203,18 +218,20 @@ def _classified(target: DataFrame, source: DataFrame, key: str, guard: str) -> D
 
 def _split_by_dates(
     target: DataFrame, updates: DataFrame, inserts: DataFrame, guard: str
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Target rows and inserts on dates with updates, and the inserts on other dates."""
+) -> tuple[DataFrame, DataFrame, DataFrame, int]:
+    """Target rows and inserts on dates with updates, the inserts on other dates, and the
+    number of dates with updates as far as they were listed."""
     dates = updates.select(guard).distinct()
     listed = [row[0] for row in dates.limit(MAX_LISTED_DATES + 1).collect()]
     if len(listed) <= MAX_LISTED_DATES:
         hit = F.coalesce(F.col(guard).isin(listed), F.lit(False))
         pruned = F.col(guard).isin(listed)
-        return target.where(pruned), inserts.where(pruned), inserts.where(~hit)
+        return target.where(pruned), inserts.where(pruned), inserts.where(~hit), len(listed)
     return (
         target.join(dates, guard, "left_semi").select(target.columns),
         inserts.join(dates, guard, "left_semi").select(inserts.columns),
         inserts.join(dates, guard, "left_anti").select(inserts.columns),
+        len(listed),
     )
 
 

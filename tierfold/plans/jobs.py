@@ -25,7 +25,13 @@ from tierfold.operators.merge import MergeStats, merge_into
 from tierfold.sinks.files import append_json, append_partitioned, create_partitioned
 from tierfold.sinks.marts import Mart
 from tierfold.sinks.retention import stale_files, vacuum_delta
-from tierfold.sources import scan_collection, scan_layer, scan_parquet, table_or_none
+from tierfold.sources import (
+    ensure_appendable,
+    scan_collection,
+    scan_layer,
+    scan_parquet,
+    table_or_none,
+)
 from tierfold.staging import staged
 
 log = logging.getLogger(__name__)
@@ -60,11 +66,12 @@ def raw_ingest(
         log.warning("%s: no documents", collection)
         return 0
     path = config.raw_path(collection)
+    dated = with_raw_partition(documents)
+    table = table_or_none(spark, path, config.table_format)
+    if table is not None:
+        ensure_appendable(table, dated)
     rows = append_partitioned(
-        with_raw_partition(documents),
-        path,
-        config.table_format,
-        partitions=config.write_partitions,
+        dated, path, config.table_format, partitions=config.write_partitions
     )
     log.info("%s: %d rows appended", path, rows)
     return rows

@@ -7,10 +7,18 @@ from tierfold.sources.documents import (
     scan_collection,
     scan_json,
 )
-from tierfold.sources.tables import scan_layer, scan_parquet, table_or_none
+from tierfold.sources.tables import (
+    SchemaMismatch,
+    ensure_appendable,
+    scan_layer,
+    scan_parquet,
+    table_or_none,
+)
 
 __all__ = [
     "CORRUPT_COLUMN",
+    "SchemaMismatch",
+    "ensure_appendable",
     "scan_by_date_range",
     "scan_by_ids",
     "scan_collection",

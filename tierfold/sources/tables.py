@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructType
+from pyspark.sql.types import ArrayType, DataType, DateType, StructType
 
 PARTITION_COLUMN = "partitionDate"
 ABSENT = (
@@ -53,6 +53,37 @@ def table_or_none(
         raise
 
 
+class SchemaMismatch(TypeError):
+    """Rows whose types the table they are meant for cannot take."""
+
+
+def ensure_appendable(table: DataFrame, rows: DataFrame) -> None:
+    """Raise if a column of ``rows`` has another type than in ``table``.
+
+    Columns and nested fields may be new or missing. Files of different types in one
+    table could be written, but no longer be read together.
+    """
+    clashes = _clashes(table.schema, rows.schema, "")
+    if clashes:
+        raise SchemaMismatch("; ".join(clashes))
+
+
+def _clashes(old: DataType, new: DataType, where: str) -> list[str]:
+    if isinstance(old, StructType) and isinstance(new, StructType):
+        known = {f.name.lower(): f.dataType for f in old.fields}
+        return [
+            clash
+            for f in new.fields
+            if f.name.lower() in known
+            for clash in _clashes(known[f.name.lower()], f.dataType, f"{where}.{f.name}")
+        ]
+    if isinstance(old, ArrayType) and isinstance(new, ArrayType):
+        return _clashes(old.elementType, new.elementType, f"{where}[]")
+    if old.simpleString() == new.simpleString():
+        return []
+    return [f"{where.lstrip('.')} is {old.simpleString()}, not {new.simpleString()}"]
+
+
 def scan_parquet(spark: SparkSession, *uris: str) -> DataFrame:
     """Parquet at any URI Hadoop knows, such as ``s3a://bucket/key``."""
     return spark.read.parquet(*uris)

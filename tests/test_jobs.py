@@ -88,7 +88,8 @@ def test_documents_of_other_types_are_refused(spark, lake, patients):
     with pytest.raises(SchemaMismatch, match="active.value is boolean, not string"):
         jobs.raw_ingest(spark, put(spark, config, "patient", changed), "patient")
     grown = patients.withColumn("active", F.struct("active.value", F.lit("x").alias("note")))
-    jobs.raw_ingest(spark, put(spark, config, "patient", grown.withColumn("extra", F.lit(1))), "patient")
+    grown = grown.withColumn("extra", F.lit(1))
+    jobs.raw_ingest(spark, put(spark, config, "patient", grown), "patient")
     raw = scan_layer(spark, config.raw_path("patient"))
     assert raw.count() == 2 * patients.count()
     assert raw.where("active.note IS NOT NULL AND extra = 1").count() == patients.count()

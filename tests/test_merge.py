@@ -20,7 +20,8 @@ def frame(spark, rows, schema=SCHEMA):
 
 
 def rows_of(df, *names):
-    return sorted((tuple(r) for r in df.select(*(names or ("mongoId", "v", "partitionDate"))).collect()), key=repr)
+    chosen = df.select(*(names or ("mongoId", "v", "partitionDate")))
+    return sorted((tuple(r) for r in chosen.collect()), key=repr)
 
 
 def written(spark, tmp_path, rows, schema=SCHEMA):
@@ -126,7 +127,8 @@ def test_repeated_new_keys_are_all_inserted(spark):
 
 
 def files_of(spark, path):
-    found = scan_layer(spark, path).select("_metadata.file_path", "_metadata.file_modification_time")
+    wanted = ("_metadata.file_path", "_metadata.file_modification_time")
+    found = scan_layer(spark, path).select(*wanted)
     return {tuple(r) for r in found.distinct().collect()}
 
 

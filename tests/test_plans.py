@@ -85,8 +85,9 @@ def test_target_keys_are_read_without_other_columns(spark, sf_dir, tmp_path):
     assert scans[0].split("ReadSchema: ")[1].startswith("struct<mongoId:bigint>")
 
 
-def test_hot_patient_is_split_in_the_join(spark):
-    """A third of all users refer to one patient."""
+@pytest.fixture
+def small_splits(spark):
+    """No broadcasts, and skew handling from 100 KB on."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -97,23 +98,45 @@ def test_hot_patient_is_split_in_the_join(spark):
     before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        patients = spark.range(1000).select(
-            F.col("id").alias("mongoId"), F.lit("p").alias("patientName")
-        )
-        owner = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 1000)
-        users = spark.range(0, 60_000, numPartitions=8).select(
-            owner.cast("bigint").alias("patientId"),
-            F.sha2(F.col("id").cast("string"), 256).alias("email"),
-        )
-        joined = marts.join_renamed(patients, users)
-        rows = joined.collect()
-        text = plan(joined)
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-    assert len(rows) == 60_000
-    assert "skew=true" in text
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def keyed(spark, key, hot):
+    """60,000 rows, a third of them with the key ``hot``."""
+    return spark.range(0, 60_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(hot)).otherwise(F.col("id")).cast("bigint").alias(key),
+        F.sha2(F.col("id").cast("string"), 256).alias("email"),
+        F.lit("2020-01-01").cast("date").alias("partitionDate"),
+    )
+
+
+def test_hot_patient_is_split_in_the_join(spark, small_splits):
+    patients = spark.range(60_000).select(
+        F.col("id").alias("mongoId"), F.lit("p").alias("patientName")
+    )
+    joined = marts.join_renamed(patients, keyed(spark, "patientId", 7))
+    assert len(joined.collect()) == 60_000
+    assert "skew=true" in plan(joined)
+
+
+@pytest.mark.parametrize("hot", [7, None])
+def test_hot_target_key_is_split_in_the_merge(spark, small_splits, hot):
+    target = keyed(spark, "mongoId", hot)
+    source = keyed(spark, "mongoId", None).where("mongoId IS NOT NULL")
+    changed = merge._updated(target, source, "mongoId", "partitionDate")
+    assert len(changed.collect()) == 60_000
+    assert "skew=true" in plan(changed)
+
+
+def test_null_source_keys_are_split_in_the_merge(spark, small_splits):
+    target = keyed(spark, "mongoId", 7)
+    classified = merge._classified(
+        target, keyed(spark, "mongoId", None), "mongoId", "partitionDate"
+    )
+    assert len(classified.collect()) == 60_000
+    assert "skew=true" in plan(classified)

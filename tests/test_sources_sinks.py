@@ -136,12 +136,14 @@ def test_null_user_type_is_dropped(spark):
 
 
 def test_conform_keeps_nulls_and_order(spark):
-    schema = "address ARRAY<STRUCT<country: STRUCT<value: STRING>, other: INT, line: ARRAY<STRUCT<value: STRING>>>>"
+    value = "STRUCT<value: STRING>"
+    schema = f"address ARRAY<STRUCT<country: {value}, other: INT, line: ARRAY<{value}>>>"
     data = [([(("IN",), 1, [("x",), None]), None],), (None,), ([(None, 2, None)],)]
     found = [r[0] for r in conform_address(spark.createDataFrame(data, schema)).collect()]
     first = found[0][0]
     assert first.asDict()["country"]["value"] == "IN"
-    assert list(first.asDict()) == ["city", "country", "line", "postalCode", "state", "text", "useCode"]
+    names = ["city", "country", "line", "postalCode", "state", "text", "useCode"]
+    assert list(first.asDict()) == names
     assert first["line"][0]["value"] == "x" and first["line"][1] is None and first["city"] is None
     assert found[0][1] is None and found[1] is None
     assert found[2][0]["country"] is None

@@ -51,7 +51,8 @@ CLEAN_USER = f"""{RAW_USER},
 clean_user AS (
     SELECT _id AS "mongoId", email, enabled, "firstName", "lastName", "phoneNo", "userType",
            "dateCreated", "lastLoginTimeStamp", "patientId", CAST(dob AS DATE) AS dob, gender,
-           "countryCode", "userGroups", "lastUpdated", CAST("dateCreated" AS DATE) AS "partitionDate"
+           "countryCode", "userGroups", "lastUpdated",
+           CAST("dateCreated" AS DATE) AS "partitionDate"
     FROM raw_user WHERE "userType" = 'PATIENT')"""
 
 PRIMARY = """SELECT "mongoId", gender, identifier, "dateCreated", active, "birthDate",
@@ -105,7 +106,8 @@ EVOLVED = f"""WITH {MERGE_SIDES}
     SELECT "mongoId", "patientName", NULL, NULL, NULL, "partitionDate" FROM old
         WHERE NOT EXISTS (SELECT 1 FROM new WHERE {HIT})
     UNION ALL
-    SELECT -"mongoId" - 1, "patientName", "maritalStatus", 'appended', NULL, "partitionDate" FROM old
+    SELECT -"mongoId" - 1, "patientName", "maritalStatus", 'appended', NULL, "partitionDate"
+        FROM old
     UNION ALL
     SELECT "mongoId", "patientName", "maritalStatus", NULL, 'merged', "partitionDate" FROM new
         WHERE NOT EXISTS (SELECT 1 FROM old WHERE new."mongoId" = old."mongoId")"""
@@ -126,8 +128,8 @@ JSON_LINES = """WITH lines AS (
            CASE WHEN good THEN born END AS born,
            CASE WHEN good THEN 1577836800250 + c_custkey % 60 * 1000 END AS seen_ms,
            CASE WHEN NOT good THEN '{"_id":' || c_custkey || ',"name":"' || c_name || '","born":"'
-               || born || '","seen":"2020-01-01T00:00:' || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0')
-               || '.250Z"' END AS bad_line
+               || born || '","seen":"2020-01-01T00:00:'
+               || lpad(CAST(c_custkey % 60 AS VARCHAR), 2, '0') || '.250Z"' END AS bad_line
     FROM lines"""
 
 PATIENT_ROWS = f"""WITH {CLEAN_PATIENT} SELECT * FROM clean_patient"""
@@ -160,8 +162,9 @@ ORACLE_SQL: dict[str, str] = {
     "conform_nested": f"""WITH {RAW_PATIENT} SELECT _id, city, country,
         CAST(NULL AS VARCHAR) AS "postalCode", CAST(NULL AS VARCHAR) AS state,
         CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS "useCode" FROM raw_patient""",
-    "drop_columns": """SELECT c_custkey AS _id, '_id,gender,identifier,dateCreated,active,birthDate,'
-        || 'lowerCaseName,maritalStatus,lastUpdated,isAnonymous' AS column_names FROM customer""",
+    "drop_columns": """SELECT c_custkey AS _id, '_id,gender,identifier,dateCreated,active,'
+        || 'birthDate,lowerCaseName,maritalStatus,lastUpdated,isAnonymous' AS column_names
+        FROM customer""",
     "filter_user_type": f"""WITH {RAW_USER} SELECT _id, "userType", "patientId"
         FROM raw_user WHERE "userType" = 'PATIENT'""",
     "filter_not_null": f"{ADDRESS} WHERE city IS NOT NULL",

@@ -9,35 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tierfold import functions, sinks, sources
 from tierfold.checks import fixtures
 from tierfold.config import LakeConfig
-from tierfold.functions import (
-    dob_to_date,
-    identifier_concat,
-    int_array_to_string,
-    register_sql_functions,
-    timestamp_repair,
-)
 from tierfold.operators import clean, columns, marts, merge
 from tierfold.plans import jobs, sql
-from tierfold.sinks import (
-    FileMart,
-    append_json,
-    append_partitioned,
-    create_partitioned,
-    stale_files,
-)
-from tierfold.sources import (
-    CORRUPT_COLUMN,
-    scan_by_date_range,
-    scan_by_ids,
-    scan_collection,
-    scan_json,
-    scan_layer,
-    scan_parquet,
-    table_or_none,
-)
-from tierfold.staging import shared_folder
+from tierfold.staging import qualified, shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,31 +61,31 @@ def _document_files(df: DataFrame, collection: str, document_format: str = "json
 
 
 @query
-def scan_collection_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = fixtures.raw_patient(spark, sf_dir)
     root = _document_files(documents, "patient")
     return _flat_patient(
-        scan_collection(spark, "patient", "json", root, documents.schema)
+        sources.scan_collection(spark, "patient", "json", root, documents.schema)
     )
 
 
 @query
 def scan_layer_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "raw.user")
-    append_partitioned(columns.with_raw_partition(fixtures.raw_user(spark, sf_dir)), path)
-    return scan_layer(spark, path).drop("userGroups")
+    sinks.append_partitioned(columns.with_raw_partition(fixtures.raw_user(spark, sf_dir)), path)
+    return sources.scan_layer(spark, path).drop("userGroups")
 
 
 @query
 def scan_parquet_uri(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scan_parquet(spark, f"file://{sf_dir}/orders.parquet")
+    return sources.scan_parquet(spark, qualified(spark, f"{sf_dir}/orders.parquet"))
 
 
 @query
 def table_or_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of an existing table, and whether a path without a table gave none."""
-    absent = table_or_none(spark, shared_folder(spark, "absent")) is None
-    present = table_or_none(spark, f"{sf_dir}/customer.parquet")
+    absent = sources.table_or_none(spark, shared_folder(spark, "absent")) is None
+    present = sources.table_or_none(spark, f"{sf_dir}/customer.parquet")
     return present.select("c_custkey", "c_name", F.lit(absent).alias("other_is_absent"))
 
 
@@ -118,32 +95,32 @@ def scan_json_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     line = F.concat(
         F.lit('{"_id":'), key, F.lit(',"name":"'), F.col("c_name"),
-        F.lit('","born":"'), F.date_add(F.lit("1950-01-01").cast("date"), (key % 20000).cast("int")),
+        F.lit('","born":"'), F.expr("DATE'1950-01-01' + CAST(c_custkey % 20000 AS INT)"),
         F.lit('","seen":"2020-01-01T00:00:'), F.lpad((key % 60).cast("string"), 2, "0"),
         F.lit('.250Z"'), F.when(key % 11 != 0, "}").otherwise(""),
     )
     path = shared_folder(spark, "lines")
     fixtures.table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
     schema = StructType.fromDDL("_id BIGINT, name STRING, born DATE, seen TIMESTAMP")
-    return scan_json(spark, path, schema).select(
+    return sources.scan_json(spark, path, schema).select(
         "_id", "name", "born", F.unix_millis("seen").alias("seen_ms"),
-        F.col(CORRUPT_COLUMN).alias("bad_line"),
+        F.col(sources.CORRUPT_COLUMN).alias("bad_line"),
     )
 
 
 @query
-def scan_by_ids_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_by_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Patients that some user of type PATIENT refers to."""
     users = columns.only_patients(fixtures.raw_user(spark, sf_dir))
     patients = fixtures.raw_patient(spark, sf_dir)
-    return _flat_patient(scan_by_ids(patients, users.select("patientId")))
+    return _flat_patient(sources.scan_by_ids(patients, users.select("patientId")))
 
 
 @query
-def scan_by_date_range_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scan_by_date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     patients = fixtures.raw_patient_with_address(spark, sf_dir)
     low, high = datetime(2020, 1, 10), datetime(2020, 3, 12)
-    return _flat_patient(scan_by_date_range(patients, low, high))
+    return _flat_patient(sources.scan_by_date_range(patients, low, high))
 
 
 # Projections and filters
@@ -164,7 +141,9 @@ def partition_date_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flatten_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     nested = {
-        name: path for name, path in clean.PATIENT_COLUMNS.items() if "." in path or name == "mongoId"
+        name: path
+        for name, path in clean.PATIENT_COLUMNS.items()
+        if "." in path or name == "mongoId"
     }
     return clean.extract(fixtures.raw_patient(spark, sf_dir), nested)
 
@@ -224,35 +203,37 @@ def filter_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def identifier_concat_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def identifier_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.raw_patient(spark, sf_dir)
     element = raw.schema["identifier"].dataType.elementType
-    text = identifier_concat(F.col("identifier"), element)
+    text = functions.identifier_concat(F.col("identifier"), element)
     return raw.select("_id", text.alias("identifier"))
 
 
 @query
-def dob_to_date_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dob_to_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.raw_user(spark, sf_dir)
-    return raw.select("_id", dob_to_date(F.col("dob")).alias("dob"))
+    return raw.select("_id", functions.dob_to_date(F.col("dob")).alias("dob"))
 
 
 @query
-def int_array_to_string_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def int_array_to_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = fixtures.raw_user(spark, sf_dir)
-    return raw.select("_id", int_array_to_string(F.col("userGroups")).alias("userGroups"))
+    text = functions.int_array_to_string(F.col("userGroups"))
+    return raw.select("_id", text.alias("userGroups"))
 
 
 @query
-def timestamp_repair_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def timestamp_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = fixtures.repair_input(spark, sf_dir)
-    return events.select("event_id", "t", timestamp_repair(F.col("t")).alias("repaired"))
+    repaired = functions.timestamp_repair(F.col("t"))
+    return events.select("event_id", "t", repaired.alias("repaired"))
 
 
 @query
 def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same functions called from SQL."""
-    register_sql_functions(spark)
+    functions.register_sql_functions(spark)
     fixtures.raw_patient(spark, sf_dir).createOrReplaceTempView("sql_patient")
     fixtures.raw_user(spark, sf_dir).createOrReplaceTempView("sql_user")
     return spark.sql(
@@ -301,17 +282,17 @@ def merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 def merge_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same upsert carried out on a written table."""
     path = shared_folder(spark, "clean.patient")
-    create_partitioned(merge_target(spark, sf_dir), path)
+    sinks.create_partitioned(merge_target(spark, sf_dir), path)
     merge.merge_into(spark, path, merge_source(spark, sf_dir))
-    return scan_layer(spark, path)
+    return sources.scan_layer(spark, path)
 
 
 @query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, then merge, rows that have a column the table lacks."""
     path = shared_folder(spark, "clean.patient")
-    append_partitioned(merge_target(spark, sf_dir).drop("maritalStatus"), path)
-    append_partitioned(
+    sinks.append_partitioned(merge_target(spark, sf_dir).drop("maritalStatus"), path)
+    sinks.append_partitioned(
         merge_target(spark, sf_dir)
         .withColumn("mongoId", -F.col("mongoId") - 1)
         .withColumn("tier", F.lit("appended")),
@@ -320,20 +301,20 @@ def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     source = merge_source(spark, sf_dir).withColumn("origin", F.lit("merged"))
     merge.merge_into(spark, path, source)
     names = ("mongoId", "patientName", "maritalStatus", "tier", "origin", "partitionDate")
-    return scan_layer(spark, path).select(*names)
+    return sources.scan_layer(spark, path).select(*names)
 
 
 # Sinks
 
 
 @query
-def append_partitioned_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends of the same rows."""
     path = shared_folder(spark, "raw.patient")
     rows = columns.with_raw_partition(fixtures.raw_patient(spark, sf_dir))
-    append_partitioned(rows, path)
-    append_partitioned(rows, path)
-    return _flat_patient_dated(scan_layer(spark, path))
+    sinks.append_partitioned(rows, path)
+    sinks.append_partitioned(rows, path)
+    return _flat_patient_dated(sources.scan_layer(spark, path))
 
 
 def _flat_patient_dated(raw: DataFrame) -> DataFrame:
@@ -348,37 +329,38 @@ def _flat_patient_dated(raw: DataFrame) -> DataFrame:
 
 
 @query
-def create_partitioned_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def create_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "clean.patient")
-    create_partitioned(clean_patient(spark, sf_dir), path)
-    return scan_layer(spark, path)
+    sinks.create_partitioned(clean_patient(spark, sf_dir), path)
+    return sources.scan_layer(spark, path)
 
 
 @query
-def append_json_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def append_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "patientJson")
     rows = columns.with_raw_partition(fixtures.raw_patient(spark, sf_dir))
-    append_json(rows, path)
+    sinks.append_json(rows, path)
     return _flat_patient_dated(spark.read.schema(rows.schema).json(path))
 
 
 @query
 def mart_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mart table written twice holds the second contents only."""
-    mart = FileMart(shared_folder(spark, "mart"))
+    mart = sinks.FileMart(shared_folder(spark, "mart"))
     mart.overwrite(clean_patient(spark, sf_dir), "patient")
     mart.overwrite(clean_user(spark, sf_dir), "patient")
     return spark.read.parquet(mart.path("patient"))
 
 
 @query
-def stale_files_(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dates of the files that belong to a superseded copy of a table."""
     root = shared_folder(spark, "snapshots")
     rows = clean_patient(spark, sf_dir)
-    create_partitioned(rows, f"{root}/old")
-    create_partitioned(rows, f"{root}/new")
-    report = stale_files(spark, root, scan_layer(spark, f"{root}/new"), older_than_hours=0)
+    sinks.create_partitioned(rows, f"{root}/old")
+    sinks.create_partitioned(rows, f"{root}/new")
+    live = sources.scan_layer(spark, f"{root}/new")
+    report = sinks.stale_files(spark, root, live, older_than_hours=0)
     day = F.regexp_extract("path", r"/old/partitionDate=([0-9-]+)/", 1)
     return report.select(day.cast("date").alias("partitionDate")).distinct()
 
@@ -402,7 +384,7 @@ def sql_over_path(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Jobs
 
 
-def _lake(spark: SparkSession, sf_dir: str, *collections: str) -> tuple[LakeConfig, FileMart]:
+def _lake(spark: SparkSession, sf_dir: str, *collections: str) -> tuple[LakeConfig, sinks.FileMart]:
     """A new lake whose sources hold the given collections, ingested into raw tables."""
     makers = {"patient": fixtures.raw_patient, "user": fixtures.raw_user}
     root = shared_folder(spark, "lake")
@@ -410,13 +392,13 @@ def _lake(spark: SparkSession, sf_dir: str, *collections: str) -> tuple[LakeConf
     for name in collections:
         makers[name](spark, sf_dir).write.parquet(f"{config.source_root}/{name}")
         jobs.raw_ingest(spark, config, name)
-    return config, FileMart(f"{root}/mart")
+    return config, sinks.FileMart(f"{root}/mart")
 
 
 @query
 def job_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _lake(spark, sf_dir, "patient")
-    return _flat_patient_dated(scan_layer(spark, config.raw_path("patient")))
+    return _flat_patient_dated(sources.scan_layer(spark, config.raw_path("patient")))
 
 
 @query
@@ -425,14 +407,14 @@ def job_clean_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _lake(spark, sf_dir, "patient")
     jobs.clean_load(spark, config, "patient")
     jobs.clean_load(spark, config, "patient")
-    return scan_layer(spark, config.clean_path("patient"))
+    return sources.scan_layer(spark, config.clean_path("patient"))
 
 
 @query
 def job_clean_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _lake(spark, sf_dir, "user")
     jobs.clean_load(spark, config, "user")
-    return scan_layer(spark, config.clean_path("user"))
+    return sources.scan_layer(spark, config.clean_path("user"))
 
 
 @query
@@ -452,7 +434,7 @@ def job_mart_from_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(mart.path("patient"))
 
 
-def _joined_mart(spark: SparkSession, sf_dir: str) -> FileMart:
+def _joined_mart(spark: SparkSession, sf_dir: str) -> sinks.FileMart:
     config, mart = _lake(spark, sf_dir, "patient", "user")
     jobs.clean_load(spark, config, "patient")
     jobs.clean_load(spark, config, "user")
@@ -493,6 +475,3 @@ def job_patient_mart_direct(spark: SparkSession, sf_dir: str) -> DataFrame:
     jobs.patient_mart_direct(spark, config, mart)
     return spark.read.parquet(mart.path("patient"))
 
-
-# Names that would hide the functions they call end in an underscore above.
-QUERIES = {name.rstrip("_"): function for name, function in QUERIES.items()}

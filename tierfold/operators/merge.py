@@ -5,8 +5,9 @@ key *and* the same guard value; if the guard differs or is null the target row s
 the source row is dropped. A source row with a new or null key is inserted. Nothing is
 deleted. Two source rows for one key that is in the target are an error.
 
-Columns of both sides take the target's type. Columns only the source has are added (null in other rows); columns only the target has
-keep their value on update and are null on insert.
+Columns of both sides take the target's type. Columns only the source has are added (null
+in other rows); columns only the target has keep their value on update and are null on
+insert.
 """
 
 from __future__ import annotations
@@ -119,11 +120,12 @@ def merged(
     """The table after the upsert, as one DataFrame; nothing is written."""
     source = _with_types_of(target, source)
     check_source(target, source, key)
-    inserts = source.join(_keys(target, key), key, "left_anti")
-    changed = _updated(target, source, key, guard)
-    return changed.unionByName(
-        inserts.select(source.columns), allowMissingColumns=True
-    )
+    known = _keys(target, key)
+    # Only rows with a known key, one per key, go to the side that cannot be split.
+    candidates = source.join(known, key, "left_semi").select(source.columns)
+    inserts = source.join(known, key, "left_anti").select(source.columns)
+    changed = _updated(target, candidates, key, guard)
+    return changed.unionByName(inserts, allowMissingColumns=True)
 
 
 def merge_into(

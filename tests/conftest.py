@@ -23,8 +23,6 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            # Thousands of one-file folders: list many per task.
-            "spark.sql.sources.parallelPartitionDiscovery.parallelism": "16",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

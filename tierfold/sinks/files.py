@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tierfold.operators.columns import PARTITION_COLUMN
+from tierfold.session import settings_during
 
 # Joining small shuffle partitions saves no file here, as a date is in one of them anyway;
 # it only makes one task open the files of more dates. So keep all cores busy instead.
@@ -18,18 +16,6 @@ SPREAD_DATES = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 def _write(
     df: DataFrame,
     path: str,
@@ -53,7 +39,7 @@ def _write(
     balanced = df.hint("rebalance", *arguments)
     counted = balanced.observe(observed, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(table_format).mode(mode).options(**(options or {}))
-    with _settings(spark, SPREAD_DATES):
+    with settings_during(spark, SPREAD_DATES):
         writer.partitionBy(column).save(path)
     return observed.get["rows"]
 

@@ -7,7 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, DateType, StructType
 
-PARTITION_COLUMN = "partitionDate"
+from tierfold.operators.columns import PARTITION_COLUMN
+from tierfold.session import settings_during
+
+LISTING_KEY = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 ABSENT = (
     "PATH_NOT_FOUND",
     "UNABLE_TO_INFER_SCHEMA",
@@ -26,14 +29,17 @@ def scan_layer(
     """A raw or clean table with the columns of all its files.
 
     Files written before a column was added lack it, so Parquet footers are merged (a
-    distributed job). With ``schema`` no footer is read for that.
+    distributed job). With ``schema`` no footer is read for that. Folders are listed by a
+    few tasks per core, not by one task each.
     """
+    lists = min(int(spark.conf.get(LISTING_KEY)), 4 * spark.sparkContext.defaultParallelism)
     reader = spark.read.format(table_format)
     if schema is not None:
         reader = reader.schema(schema)
     elif table_format in ("parquet", "orc"):
         reader = reader.option("mergeSchema", True)
-    table = reader.load(path)
+    with settings_during(spark, {LISTING_KEY: str(lists)}):
+        table = reader.load(path)
     # With nothing but null dates the folder names do not show the type.
     if PARTITION_COLUMN in table.columns:
         if not isinstance(table.schema[PARTITION_COLUMN].dataType, DateType):

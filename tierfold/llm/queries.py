@@ -7,9 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierfold.llm.archive import archived_pages, base32_of_hex
 from tierfold.llm.common import table
 from tierfold.llm.line_frequency import line_verdicts
 from tierfold.llm.shards import byte_shards
+from tierfold.llm.simhash import fingerprint_hex, near_duplicates
+
+
+def op3_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = archived_pages(table(spark, sf_dir, "pages")).reconstructed()
+    return records.select(
+        "page_id",
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        base32_of_hex(F.sha1("payload")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
 
 
 def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,9 +39,17 @@ def op6_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", fingerprint_hex(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_content_archive": op3_content_archive,
     "op4_line_frequency": op4_line_frequency,
     "op6_byte_shards": op6_byte_shards,
+    "op7_simhash_tiles": op7_simhash_tiles,
 }
 
 ORACLE_SQL: dict[str, str] = {}

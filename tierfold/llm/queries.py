@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from tierfold.llm.archive import archived_pages, base32_of_hex
 from tierfold.llm.common import table
+from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
 from tierfold.llm.shards import byte_shards
 from tierfold.llm.simhash import fingerprint_hex, near_duplicates
 
 
+def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = archived_pages(table(spark, sf_dir, "pages")).reconstructed()
     return records.select(
@@ -46,6 +51,7 @@ def op7_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_lattice_likelihood": op2_lattice_likelihood,
     "op3_content_archive": op3_content_archive,
     "op4_line_frequency": op4_line_frequency,
     "op6_byte_shards": op6_byte_shards,

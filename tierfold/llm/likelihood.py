@@ -85,7 +85,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trained_model(
-    words: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = 2
+    words: DataFrame, ends: int, vocabulary: Vocabulary, rounds: int = 3
 ) -> tuple[np.ndarray, float]:
     """Natural-log probabilities of the slots and of the end, by expectation maximisation.
 
@@ -119,7 +119,7 @@ def trained_model(
 
 
 def lattice_scores(
-    docs: DataFrame, vocabulary_path: str = DEFAULT_VOCABULARY, rounds: int = 2
+    docs: DataFrame, vocabulary_path: str = DEFAULT_VOCABULARY, rounds: int = 3
 ) -> DataFrame:
     """Log10 probability of every text, summed over all segmentations into pieces.
 

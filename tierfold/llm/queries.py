@@ -11,6 +11,7 @@ from tierfold.llm.archive import archived_pages, base32_of_hex
 from tierfold.llm.common import table
 from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
+from tierfold.llm.phrases import without_repeats
 from tierfold.llm.shards import byte_shards
 from tierfold.llm.simhash import fingerprint_hex, near_duplicates
 
@@ -50,12 +51,17 @@ def op7_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return without_repeats(table(spark, sf_dir, "documents"), 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lattice_likelihood": op2_lattice_likelihood,
     "op3_content_archive": op3_content_archive,
     "op4_line_frequency": op4_line_frequency,
     "op6_byte_shards": op6_byte_shards,
     "op7_simhash_tiles": op7_simhash_tiles,
+    "op10_repeated_phrases": op10_repeated_phrases,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierfold.llm.archive import archived_pages, base32_of_hex
 from tierfold.llm.common import table
+from tierfold.llm.decontaminate import contaminated_passages
 from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
 from tierfold.llm.phrases import without_repeats
@@ -38,6 +39,11 @@ def op4_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated_passages(docs, items)
+
+
 def op6_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_shards(table(spark, sf_dir, "documents"), 40).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_lattice_likelihood": op2_lattice_likelihood,
     "op3_content_archive": op3_content_archive,
     "op4_line_frequency": op4_line_frequency,
+    "op5_qgram_lemma": op5_qgram_lemma,
     "op6_byte_shards": op6_byte_shards,
     "op7_simhash_tiles": op7_simhash_tiles,
     "op10_repeated_phrases": op10_repeated_phrases,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tierfold.llm.archive import archived_pages, base32_of_hex
 from tierfold.llm.common import table
 from tierfold.llm.decontaminate import contaminated_passages
+from tierfold.llm.disclosure import personal_data
 from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
 from tierfold.llm.phrases import without_repeats
@@ -57,6 +58,10 @@ def op7_simhash_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), 20)
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_qgram_lemma": op5_qgram_lemma,
     "op6_byte_shards": op6_byte_shards,
     "op7_simhash_tiles": op7_simhash_tiles,
+    "op8_disclosure": op8_disclosure,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 

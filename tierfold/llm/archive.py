@@ -133,19 +133,23 @@ class Archive:
     headers: DataFrame
     payloads: DataFrame
 
-    def reconstructed(self) -> DataFrame:
-        """Every original record: header, payload found by digest, and the bytes of both.
+    def joined(self, of_payload: dict[str, Column]) -> DataFrame:
+        """Every record's header row with values taken from its stored ``payload``.
 
+        The values are computed where the payload is stored, so only they move in the join.
         Raises where a stored payload no longer has the digest it is stored under.
         """
-        sound = self.payloads.select(
-            "sha256",
-            F.when(F.unhex(F.sha2("payload", 256)) == F.col("sha256"), F.col("payload"))
-            .otherwise(F.raise_error(F.lit("stored payload does not match its digest")))
-            .alias("payload"),
+        sound = F.when(F.unhex(F.sha2("payload", 256)) == F.col("sha256"), F.col("payload"))
+        broken = F.raise_error(F.lit("stored payload does not match its digest"))
+        values = self.payloads.withColumn("payload", sound.otherwise(broken)).select(
+            "sha256", *(value.alias(name) for name, value in of_payload.items())
         )
+        return self.headers.drop(*of_payload).join(values, "sha256")
+
+    def reconstructed(self) -> DataFrame:
+        """Every original record: header, payload found by digest, and the bytes of both."""
         end = F.lit(END.encode())
-        return self.headers.join(sound, "sha256").withColumn(
+        return self.joined({"payload": F.col("payload")}).withColumn(
             "record", F.concat("header", end, "payload", end)
         )
 

@@ -23,13 +23,12 @@ def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = archived_pages(table(spark, sf_dir, "pages")).reconstructed()
-    return records.select(
-        "page_id",
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        base32_of_hex(F.sha1("payload")).alias("payload_digest"),
-        "record_type",
-        "refers_to",
+    payload = {
+        "payload_bytes": F.octet_length("payload").cast("long"),
+        "payload_digest": base32_of_hex(F.sha1("payload")),
+    }
+    return archived_pages(table(spark, sf_dir, "pages")).joined(payload).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 
 

@@ -13,6 +13,7 @@ from tierfold.llm.decontaminate import contaminated_passages
 from tierfold.llm.disclosure import personal_data
 from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
+from tierfold.llm.nbest import encoded
 from tierfold.llm.phrases import without_repeats
 from tierfold.llm.shards import byte_shards
 from tierfold.llm.simhash import fingerprint_hex, near_duplicates
@@ -61,6 +62,10 @@ def op8_disclosure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"))
 
 
+def op9_nbest_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"), 4)
+
+
 def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), 20)
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_byte_shards": op6_byte_shards,
     "op7_simhash_tiles": op7_simhash_tiles,
     "op8_disclosure": op8_disclosure,
+    "op9_nbest_pieces": op9_nbest_pieces,
     "op10_repeated_phrases": op10_repeated_phrases,
 }
 

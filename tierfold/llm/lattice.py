@@ -10,7 +10,7 @@ import numpy as np
 
 DEFAULT_VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"  # stands for the space in pieces
-_BASE = np.uint64(0x100000001B3)
+HASH_BASE = np.uint64(0x100000001B3)
 _FEW = 16  # words of one length below which vectors do not pay
 
 
@@ -49,10 +49,24 @@ class Vocabulary:
         return found[order], order, used
 
 
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the hashes are pieces', and the slots of those."""
+        keys, order, used = self.hashes
+        rows = np.flatnonzero(used[hashes >> np.uint64(44)])
+        at = np.searchsorted(keys, hashes[rows])
+        at[at == len(keys)] = 0
+        hit = keys[at] == hashes[rows]
+        return rows[hit], order[at[hit]]
+
+
+def hash_marks(letters: np.ndarray) -> np.ndarray:
+    return (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def _hash(piece: bytes) -> int:
     h = 0
     for x in piece:
-        h = ((h * int(_BASE)) + (x + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1)
+        h = ((h * int(HASH_BASE)) + (x + 1) * 0x9E3779B97F4A7C15) & (2**64 - 1)
     return h
 
 
@@ -125,8 +139,7 @@ def _scalar(word, logp, vocabulary, weight, expected):
 def _vectors(letters, logp, vocabulary, weights, expected):
     """``_scalar`` for a matrix of words of one length, a row each."""
     n, length = letters.shape
-    keys, order, used = vocabulary.hashes
-    marks = (letters.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    marks = hash_marks(letters)
     alpha = np.full((length + 1, n), -np.inf)
     alpha[0] = 0
     edges = []
@@ -134,13 +147,10 @@ def _vectors(letters, logp, vocabulary, weights, expected):
     for s in range(length):
         h, first = np.zeros(n, np.uint64), len(edges)
         for e in range(s + 1, min(length, s + vocabulary.longest) + 1):
-            h = h * _BASE + marks[:, e - 1]
-            rows = np.flatnonzero(used[h >> np.uint64(44)])
+            h = h * HASH_BASE + marks[:, e - 1]
+            rows, slots = vocabulary.find(h)
             if len(rows):
-                at = np.searchsorted(keys, h[rows])
-                at[at == len(keys)] = 0
-                hit = keys[at] == h[rows]
-                edges.append((s, e, rows[hit], order[at[hit]]))
+                edges.append((s, e, rows, slots))
         edges.append((s, s + 1, every, byte_slot + letters[:, s].astype(np.int64)))
         for a, e, rows, slots in edges[first:]:
             alpha[e, rows] = np.logaddexp(alpha[e, rows], alpha[a, rows] + logp[slots])

@@ -14,9 +14,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierfold.llm.common import in_batches
-from tierfold.llm.lattice import DEFAULT_VOCABULARY, Vocabulary, load_vocabulary
+from tierfold.llm.lattice import (
+    DEFAULT_VOCABULARY,
+    HASH_BASE,
+    Vocabulary,
+    hash_marks,
+    load_vocabulary,
+)
 
-KNOWN_UNITS = 200_000  # segmented words a task remembers before it starts afresh
+FEW = 16  # units of one length below which vectors do not pay
+KNOWN_UNITS = 300_000  # segmented words a task remembers before it starts afresh
 ENCODED = (
     "doc_id long, n_pieces long, score double, piece_ids array<int>,"
     " nbest array<struct<score: double, n_pieces: long,"
@@ -40,6 +47,10 @@ _UNIT = re.compile(rb" +[^ \n]*|[^ \n]+|\n")
 _LETTER = re.compile(rb"[\x00-\x7f]|[\xc0-\xff][\x80-\xbf]*")
 
 
+def units_of(text: bytes) -> list[bytes]:
+    return _UNIT.findall(b" " + text) if text else []
+
+
 class Segmenter:
     """Best and next segmentations of units under one vocabulary; a task holds one."""
 
@@ -107,6 +118,84 @@ class Segmenter:
             got = self.known[unit] = (slots, alpha[n], max(0.0, alpha[n] - other))
         return got
 
+    def learn(self, units: set[bytes]) -> None:
+        """``best`` for many units at once, those of one length as vectors."""
+        fresh = [u for u in units if u not in self.known]
+        if len(self.known) + len(fresh) > KNOWN_UNITS:
+            self.known.clear()
+            self.lists.clear()
+            fresh = list(units)
+        by_length: dict[int, list[bytes]] = {}
+        for unit in fresh:
+            by_length.setdefault(len(unit), []).append(unit)
+        for length, group in by_length.items():
+            if len(group) < FEW:
+                for unit in group:
+                    self.best(unit)
+                continue
+            for k in range(0, len(group), 20_000):
+                part = group[k : k + 20_000]
+                letters = np.frombuffer(b"".join(part), np.uint8).reshape(len(part), length)
+                self.known.update(zip(part, self._best_of(letters), strict=True))
+
+    def _best_of(self, letters: np.ndarray) -> Iterator[tuple[tuple[int, ...], float, float]]:
+        """``best`` of a matrix of units of one length, a row each."""
+        n, length = letters.shape
+        scores, longest = np.array(self.scores), self.vocabulary.longest
+        marks = hash_marks(letters)
+        alpha = np.full((length + 1, n), -np.inf)
+        alpha[0] = 0
+        from_start = np.zeros((length + 1, n), np.int32)
+        from_slot = np.zeros((length + 1, n), np.int32)
+        edges = []
+        unknown = np.zeros(n, bool)
+        for s in range(length):
+            lead = letters[:, s]
+            size = 1 + (lead >= 0xC0).astype(int) + (lead >= 0xE0) + (lead >= 0xF0)
+            starts = (lead & 0xC0) != 0x80
+            has_piece = np.zeros(n, bool)
+            found = []
+            h = np.zeros(n, np.uint64)
+            for e in range(s + 1, min(length, s + longest) + 1):
+                h = h * HASH_BASE + marks[:, e - 1]
+                rows, slots = self.vocabulary.find(h)
+                if len(rows):
+                    found.append((s, e, rows, slots))
+                    has_piece[rows[size[rows] == e - s]] = True
+            unknown = np.where(starts, ~has_piece, unknown)
+            rows = np.flatnonzero(unknown)
+            if len(rows):
+                found.insert(0, (s, s + 1, rows, self.first_byte + letters[rows, s].astype(int)))
+            for _, e, rows, slots in found:
+                new = alpha[s, rows] + scores[slots]
+                better = new > alpha[e, rows]
+                to = rows[better]
+                alpha[e, to], from_start[e, to], from_slot[e, to] = new[better], s, slots[better]
+            edges += found
+        beta = np.full((length + 1, n), -np.inf)
+        beta[length] = 0
+        for s, e, rows, slots in reversed(edges):
+            beta[s, rows] = np.maximum(beta[s, rows], scores[slots] + beta[e, rows])
+        every, at = np.arange(n), np.full(n, length)
+        next_of = np.zeros((length + 1, n), np.int32)
+        path = []
+        while at.any():
+            path.append(np.where(at > 0, from_slot[at, every], -1))
+            before = from_start[at, every]
+            next_of[before, every] = np.where(at > 0, at, next_of[before, every])
+            at = np.where(at > 0, before, 0)
+        other = np.full(n, -np.inf)
+        for s, e, rows, slots in edges:
+            off = next_of[s, rows] != e
+            rows, slots = rows[off], slots[off]
+            through = alpha[s, rows] + scores[slots] + beta[e, rows]
+            other[rows] = np.maximum(other[rows], through)
+        loss = np.maximum(0.0, alpha[length] - other)
+        for row, score, worse in zip(
+            np.stack(path[::-1], 1).tolist(), alpha[length].tolist(), loss.tolist(), strict=True
+        ):
+            yield tuple(k for k in row if k >= 0), score, worse
+
     def nbest(self, unit: bytes, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to ``n`` best (score, slots) of a unit, best first.
 
@@ -151,7 +240,7 @@ class Segmenter:
         Each of the ``n`` is (score, changes), a change being (place in slots, number of slots
         replaced, slots instead).
         """
-        units = _UNIT.findall(b" " + text) if text else []
+        units = units_of(text)
         entries = [self.best(u) for u in units]
         slots = list(chain.from_iterable(e[0] for e in entries))
         score = math.fsum(e[1] for e in entries)
@@ -212,12 +301,14 @@ def encoded(docs: DataFrame, n: int = 4, vocabulary_path: str = DEFAULT_VOCABULA
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, 500):
-                yield encode_rows(batch.slice(start, 500), segmenter)
+            for start in range(0, batch.num_rows, 2000):
+                yield encode_rows(batch.slice(start, 2000), segmenter)
 
     def encode_rows(batch: pa.RecordBatch, segmenter: Segmenter) -> pa.RecordBatch:
         columns: dict[str, list] = {k: [] for k in ("n", "score", "ids", "nbest", "same")}
-        for text in batch.column("text").to_pylist():
+        texts = batch.column("text").to_pylist()
+        segmenter.learn({u for text in texts for u in units_of(text or b"")})
+        for text in texts:
             text = text or b""
             slots, score, ranked = segmenter.text_nbest(text, n)
             columns["n"].append(len(slots))

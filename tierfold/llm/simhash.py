@@ -174,15 +174,50 @@ def near_duplicates(
     null, or null if there is none. Repeated ids and rows stay rows; an empty table gives none.
     """
     marked = written(with_fingerprints(docs, shingle=shingle), "simhash-fingerprints")
-    nodes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
-    links = fingerprint_links(nodes, radius, segments)
-    roots = connected_components(links)
+    classes = _classes(marked, F.col("doc_id"), radius, segments)
+    return marked.join(classes, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
+
+
+def _classes(marked: DataFrame, of_row: Column, radius: int, segments: int) -> DataFrame:
+    """``fp`` and ``first`` (smallest ``of_row`` in its component) of every fingerprint."""
+    nodes = written(marked.groupBy("fp").agg(F.min(of_row).alias("first")), "simhash-nodes")
+    roots = connected_components(fingerprint_links(nodes, radius, segments))
     rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
-    least = rooted.groupBy("component").agg(F.min("first").alias("component_id"))
-    classes = written(rooted.join(least, "component").select("fp", "component_id"), "simhash-classes")
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("component").agg(F.min("first").alias("first"))
+    return written(
+        rooted.select("fp", "component").join(least, "component").select("fp", "first"),
+        "simhash-classes",
+    )
+
+
+def deduplicated(
+    docs: DataFrame, radius: int = 2, shingle: int = 3, segments: int = 4
+) -> DataFrame:
+    """One row of every component of ``near_duplicates``: that of the smallest doc_id.
+
+    Among rows of that id one is taken by a hash of the whole row; of rows equal in every
+    column one stays. Columns and their order stay.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64(*docs.columns))
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [fingerprint(x or b"", shingle) for x in batch.column("text").to_pylist()]
+        return pa.RecordBatch.from_pydict(
+            {
+                "doc_id": batch.column("doc_id"), "key": batch.column("key"),
+                "fp": pa.array(found, pa.int64()),
+            }
+        )
+
+    rows = keyed.select(
+        "doc_id", F.col("__key").alias("key"), F.col("text").cast("binary").alias("text")
+    )
+    marked = written(in_batches(rows, over, "doc_id long, key long, fp long"), "simhash-rows")
+    classes = _classes(marked, F.struct("doc_id", "key"), radius, segments)
+    kept = classes.select(F.col("first.key").alias("__key")).distinct()
+    return keyed.join(kept, "__key").dropDuplicates(["__key"]).select(*docs.columns)
 
 
 def fingerprint_hex(fp: Column) -> Column:

@@ -15,10 +15,15 @@ from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
 from tierfold.llm.nbest import encoded
 from tierfold.llm.phrases import without_repeats
+from tierfold.llm.quotes import reply_ordered
 from tierfold.llm.shards import byte_shards
 from tierfold.llm.simhash import fingerprint_hex, near_duplicates
 
 
+def op1_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(table(spark, sf_dir, "conversations"))
+
+
 def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice_scores(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotation_links": op1_quotation_links,
     "op2_lattice_likelihood": op2_lattice_likelihood,
     "op3_content_archive": op3_content_archive,
     "op4_line_frequency": op4_line_frequency,

@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
+DOC = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{TESTDATA}/sf0.001/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def rows():
+    found = duckdb.sql(f"select * from '{TESTDATA}/sf0.001/documents.parquet' order by doc_id")
+    names = [d[0] for d in found.description]
+    return [dict(zip(names, r, strict=True)) for r in found.fetchall()]
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls, empty and long texts, repeated rows and ids, copies, and clashing extra columns."""
+    long_text = " ".join(f"word{i % 997} a" for i in range(30_000))
+    data = [
+        (1, None, "en", "a", 0, 5, "x"),
+        (2, "", "en", None, 0, 5, "x"),
+        (3, " \n\t ", None, "a", None, 5, None),
+        (4, "One line of words that is here to be long enough for every rule we have, "
+            "so that nothing else fails it.\nsecond", "en", "a", 0, 5, "x"),
+        (4, "One line of words that is here to be long enough for every rule we have, "
+            "so that nothing else fails it.\nsecond", "en", "a", 0, 5, "x"),
+        (4, "another text under the same id", "en", "a", 0, 5, "x"),
+        (None, "a row without an id but with words", "en", "b", 0, 5, "x"),
+        (None, None, None, None, None, None, None),
+        (7, long_text, "en", "b", 0, 5, "x"),
+        (8, long_text, "en", "b", 0, 5, "x"),
+        (9, "x" * 50_000, "en", "b", 0, 5, "x"),
+        (10, "mail a.b@c.example and +1 (555) 123-4567 é中", "en", "b", 0, 5, "x"),
+    ]
+    return spark.createDataFrame(data, DOC + ", __key long, fp string").repartition(3)
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOC)

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import TESTDATA
+from tierfold.llm.line_frequency import apply_line_rules, line_verdicts
+from tierfold.llm.shards import byte_shards
+from tierfold.llm.queries import QUERIES
+
+
+def brute_line_rules(rows, min_docs=10, share=0.01, min_left=0.2):
+    normal = lambda line: " ".join(line.lower().split())
+    contents, holders = defaultdict(set), defaultdict(set)
+    for r in rows:
+        contents[r["source"]].add(r["text"])
+        for line in r["text"].split("\n"):
+            if line.split():
+                holders[r["source"], normal(line)].add(r["text"])
+    out = {}
+    for r in rows:
+        words, lines = r["text"].split(), r["text"].split("\n")
+        limit = max(min_docs, share * len(contents[r["source"]]))
+        left = sum(
+            len(x.split()) for x in lines
+            if x.split() and len(holders[r["source"], normal(x)]) <= limit
+        )
+        windows = Counter(tuple(words[i : i + 8]) for i in range(len(words) - 7))
+        covered = {
+            j for i in range(len(words) - 7) if windows[tuple(words[i : i + 8])] > 1
+            for j in range(i, i + 8)
+        }
+        seen, repeated = set(), 0
+        for x in lines:
+            if x.split():
+                repeated += x in seen
+                seen.add(x)
+        failed = len(words) < 20 or 100 * len(covered) > 30 * len(words)
+        out[r["doc_id"]] = (
+            len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in r["text"]), repeated,
+            len(covered), failed, not failed and left >= min_left * len(words), left,
+        )
+    return out
+
+
+@pytest.mark.parametrize("min_docs", [1, 10])
+def test_line_rules_against_brute_force(documents, rows, min_docs):
+    found = {
+        r["doc_id"]: tuple(r)[1:]
+        for r in line_verdicts(documents, min_docs=min_docs).select(
+            "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "base_failed", "kept", "words_left",
+        ).collect()
+    }
+    assert found == brute_line_rules(rows, min_docs)
+
+
+def test_frequent_lines_go_and_copies_count_once(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    data = [(i, f"Menu   Home\nown{i} {words}", "h") for i in range(20)]
+    data += [(100 + i, f"copied text {words} of a page\nand its second line", "h") for i in range(50)]
+    data += [(200 + i, f"menu home\nx{i}", "g") for i in range(3)]
+    data += [(300, "Menu Home\n" * 30 + "rest", "h")]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    kept = {r["doc_id"]: r["text"] for r in apply_line_rules(docs, host_share=0.2).collect()}
+    assert kept[0] == f"own0 {words}"
+    assert kept[120].startswith("copied text")
+    assert 200 not in kept and 300 not in kept
+
+
+def test_line_rules_on_odd_rows(odd_docs, no_docs):
+    assert line_verdicts(odd_docs).count() == 12
+    kept = apply_line_rules(odd_docs)
+    assert kept.columns == odd_docs.columns
+    assert {r["doc_id"] for r in kept.select("doc_id").collect()} <= {4, 7, 8}
+    assert kept.filter("doc_id = 4").count() == 2
+    assert line_verdicts(no_docs).count() == 0 and apply_line_rules(no_docs).count() == 0
+
+
+def test_byte_shards(spark):
+    sf = f"{TESTDATA}/sf0.01"
+    found = QUERIES["op6_byte_shards"](spark, sf).collect()
+    texts = dict(duckdb.sql(f"select doc_id, text from '{sf}/documents.parquet'").fetchall())
+    assert len(found) == len(texts)
+    sums, slots = Counter(), defaultdict(list)
+    for r in sorted(found, key=lambda r: r["doc_id"]):
+        raw = texts[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"]) == (len(raw) + 16, zlib.crc32(raw))
+        sums[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    order = [r["shard"] for r in sorted(found, key=lambda r: r["doc_id"])]
+    assert order == sorted(order) and set(order) == set(range(40))
+    assert all(s == list(range(len(s))) for s in slots.values())
+    largest, mean = max(r["size"] for r in found), sum(sums.values()) / 40
+    assert all(abs(s - mean) <= largest for s in sums.values())
+
+
+def test_byte_shards_on_odd_rows(spark, odd_docs, no_docs):
+    assert byte_shards(odd_docs, 3).count() == 12
+    assert byte_shards(no_docs, 3).count() == 0
+    one_id = spark.range(500).select(F.lit(7).alias("doc_id"), F.lit("same text").alias("text"))
+    found = byte_shards(one_id, 5).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot")).collect()
+    assert sorted(tuple(r) for r in found) == [(k, 100, 99) for k in range(5)]

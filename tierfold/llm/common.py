@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tierfold.staging import shared_folder
 
@@ -40,8 +42,26 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, string.ascii_uppercase, string.ascii_lowercase)
 
 
+def keeps_columns(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators that return the columns of their first argument: any names are allowed.
+
+    Names the operators use themselves begin with two underscores; the table's own columns of
+    such names go by others meanwhile.
+    """
+
+    @wraps(operator)
+    def with_names(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        names = docs.columns
+        safe = [f"column {i}" if n.startswith("__") else n for i, n in enumerate(names)]
+        return operator(docs.toDF(*safe), *args, **kwargs).toDF(*names)
+
+    return with_names
+
+
 def in_batches(
-    df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str
+    df: DataFrame,
+    function: Callable[[pa.RecordBatch], pa.RecordBatch],
+    schema: str | StructType,
 ) -> DataFrame:
     """``function`` over Arrow batches; state never crosses a batch."""
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches
+from tierfold.llm.common import in_batches, keeps_columns
 
 QGRAM = 8
 EDIT_SHARE = 0.08  # of an item's characters may differ
@@ -256,6 +256,7 @@ def _matches(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
     )
 
 
+@keeps_columns
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item was found; columns stay as they are.
 

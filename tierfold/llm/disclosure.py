@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import SPACE, WORD, ascii_lower, written
+from tierfold.llm.common import SPACE, WORD, ascii_lower, keeps_columns, written
 
 # Loops are possessive where nothing can follow that they could give back, which keeps the
 # matching free of recursion and of repeated tries on long runs. A match may begin inside a
@@ -258,6 +258,7 @@ def personal_data(docs: DataFrame, threshold: float = 0.8, min_texts: int = 2) -
     )
 
 
+@keeps_columns
 def sanitised(
     docs: DataFrame, threshold: float = 0.8, remove_from: float = 1.0, min_texts: int = 2
 ) -> DataFrame:

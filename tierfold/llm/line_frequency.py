@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches, written
+from tierfold.llm.common import in_batches, keeps_columns, written
 
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\v\f\r"
@@ -180,6 +180,7 @@ def _apply(batch: pa.RecordBatch) -> pa.RecordBatch:
     return out.select([n for n in out.schema.names if n != "__removed"])
 
 
+@keeps_columns
 def apply_line_rules(docs: DataFrame, **limits) -> DataFrame:
     """Rows of ``docs`` that pass, their lines above the limits taken out of the text.
 
@@ -189,12 +190,9 @@ def apply_line_rules(docs: DataFrame, **limits) -> DataFrame:
     verdicts = line_verdicts(docs, **limits)
     k1, k2 = _row_keys(docs)
     plain = docs.select("*", k1, k2).withColumn("text", F.col("text").cast("binary"))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    fields = [f"`{n}` {kinds[n] if n != 'text' else 'binary'}" for n in docs.columns]
-    packed = in_batches(plain, _pack, ", ".join([*fields, "__k1 long", "__k2 int"]))
+    packed = in_batches(plain, _pack, plain.schema)
     passed = verdicts.filter("kept").select(
         "__k1", "__k2", F.col("removed").alias("__removed")
     ).dropDuplicates(["__k1", "__k2"])
-    joined = packed.join(passed, ["__k1", "__k2"]).select(*docs.columns, "__removed")
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in docs.columns)
-    return in_batches(joined, _apply, schema)
+    joined = packed.join(passed, ["__k1", "__k2"])
+    return in_batches(joined.select(*docs.columns, "__removed"), _apply, docs.schema)

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches, written
+from tierfold.llm.common import in_batches, keeps_columns, written
 from tierfold.llm.components import connected_components
 
 SEED = 42
@@ -192,6 +192,7 @@ def _classes(marked: DataFrame, of_row: Column, radius: int, segments: int) -> D
     )
 
 
+@keeps_columns
 def deduplicated(
     docs: DataFrame, radius: int = 2, shingle: int = 3, segments: int = 4
 ) -> DataFrame:

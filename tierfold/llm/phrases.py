@@ -85,7 +85,8 @@ def selected(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     if len(phrases) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     windows = np.lib.stride_tricks.sliding_window_view(phrases, span)
-    places = np.unique(np.arange(len(windows)) + windows.argmin(axis=1))
+    places = np.arange(len(windows)) + windows.argmin(axis=1)  # in rising order
+    places = places[np.diff(places, prepend=-1) > 0]
     return places, phrases[places]
 
 
@@ -137,6 +138,15 @@ def _kept(words: list[bytes], gone: np.ndarray | None) -> tuple[int, str]:
     return len(words), hashlib.sha256(b" ".join(words)).hexdigest()
 
 
+def spelled(ids: np.ndarray) -> str:
+    """Numbered words as three letters each, the first from an alphabet of its own.
+
+    An automaton looks through the letters that may follow one by one, so there are few of them.
+    """
+    letters = np.stack([(ids >> 14) + 257, ((ids >> 7) & 127) + 1, (ids & 127) + 129], 1)
+    return letters.astype("<u4").tobytes().decode("utf-32-le")
+
+
 class Block:
     """Documents that share an automaton, with the phrases in them that recur anywhere."""
 
@@ -151,7 +161,7 @@ class Block:
         expand = zstandard.ZstdDecompressor().decompress
         numbering, width = Numbering(), self.width
         recurring = np.unique(np.concatenate([np.zeros(0, np.int64), *self.recurring]))
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH, ahocorasick.KEY_SEQUENCE)
+        automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
         held = []
         for key, doc_id, packed in self.docs:
             words = expand(packed).split()
@@ -160,8 +170,10 @@ class Block:
             held.append((doc_id, packed, words, ids, copy))
             if not copy and len(recurring):
                 places, found = selected(numbering.hashes(ids), width)
-                for place in places[np.isin(_signed(found), recurring)].tolist():
-                    automaton.add_word(tuple(ids[place : place + PHRASE].tolist()))
+                at = np.searchsorted(recurring, _signed(found))
+                at[at == len(recurring)] = 0
+                for place in places[recurring[at] == _signed(found)].tolist():
+                    automaton.add_word(spelled(ids[place : place + PHRASE]))
         if len(automaton):
             automaton.make_automaton()
         for doc_id, packed, words, ids, copy in held:
@@ -173,7 +185,8 @@ class Block:
             near = np.zeros(max(windows, 0), bool)
             if windows > 0 and len(automaton):
                 steps = np.zeros(windows + 1, np.int64)
-                for end, _ in automaton.iter(tuple(ids.tolist())):
+                for letter, _ in automaton.iter(spelled(ids)):
+                    end = letter // 3
                     first, last = max(0, end - width + 1), min(windows - 1, end - PHRASE + 1)
                     if first <= last:
                         steps[first] += 1

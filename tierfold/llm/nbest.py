@@ -61,7 +61,7 @@ class Segmenter:
         self.vocabulary = vocabulary
         self.scores = list(vocabulary.scores)
         self.first_byte = len(vocabulary.pieces)
-        self.known: dict[bytes, tuple[tuple[int, ...], float, float]] = {}
+        self.known: dict[bytes, tuple[bytes, float, float]] = {}
         self.lists: dict[bytes, list[tuple[float, tuple[int, ...]]]] = {}
 
     def edges(self, unit: bytes) -> list[tuple[int, int, int]]:
@@ -91,8 +91,17 @@ class Segmenter:
                 alpha[e], last[e] = new, edge
         return alpha, last
 
-    def best(self, unit: bytes) -> tuple[tuple[int, ...], float, float]:
-        """Slots and score of the best segmentation, and by how much the second is worse."""
+    def _entry(self, unit: bytes, slots: bytes, score: float, loss: float):
+        if self._joined(np.frombuffer(slots, np.int32).tolist()) != unit:
+            raise AssertionError(f"the pieces of {unit!r} do not give it back")
+        return slots, score, loss
+
+    def _joined(self, slots: list[int]) -> bytes:
+        pieces, first = self.vocabulary.pieces, self.first_byte
+        return b"".join([pieces[k] if k < first else bytes((k - first,)) for k in slots])
+
+    def best(self, unit: bytes) -> tuple[bytes, float, float]:
+        """Slots (as int32) and score of the best segmentation, and the second's loss on it."""
         got = self.known.get(unit)
         if got is None:
             if len(self.known) >= KNOWN_UNITS:
@@ -114,8 +123,9 @@ class Segmenter:
                 (alpha[s] + scores[k] + beta[e] for s, e, k in edges if (s, e, k) not in on),
                 default=-math.inf,
             )
-            slots = tuple(k for _, _, k in reversed(path))
-            got = self.known[unit] = (slots, alpha[n], max(0.0, alpha[n] - other))
+            slots = np.array([k for _, _, k in reversed(path)], np.int32).tobytes()
+            got = self._entry(unit, slots, alpha[n], max(0.0, alpha[n] - other))
+            self.known[unit] = got
         return got
 
     def learn(self, units: set[bytes]) -> None:
@@ -136,9 +146,10 @@ class Segmenter:
             for k in range(0, len(group), 20_000):
                 part = group[k : k + 20_000]
                 letters = np.frombuffer(b"".join(part), np.uint8).reshape(len(part), length)
-                self.known.update(zip(part, self._best_of(letters), strict=True))
+                for unit, found in zip(part, self._best_of(letters), strict=True):
+                    self.known[unit] = self._entry(unit, *found)
 
-    def _best_of(self, letters: np.ndarray) -> Iterator[tuple[tuple[int, ...], float, float]]:
+    def _best_of(self, letters: np.ndarray) -> Iterator[tuple[bytes, float, float]]:
         """``best`` of a matrix of units of one length, a row each."""
         n, length = letters.shape
         scores, longest = np.array(self.scores), self.vocabulary.longest
@@ -191,10 +202,12 @@ class Segmenter:
             through = alpha[s, rows] + scores[slots] + beta[e, rows]
             other[rows] = np.maximum(other[rows], through)
         loss = np.maximum(0.0, alpha[length] - other)
-        for row, score, worse in zip(
-            np.stack(path[::-1], 1).tolist(), alpha[length].tolist(), loss.tolist(), strict=True
+        slots = np.stack(path[::-1], 1).astype(np.int32)  # filled from the right
+        blank = (slots < 0).sum(axis=1).tolist()
+        for row, k, score, worse in zip(
+            slots, blank, alpha[length].tolist(), loss.tolist(), strict=True
         ):
-            yield tuple(k for k in row if k >= 0), score, worse
+            yield row[k:].tobytes(), score, worse
 
     def nbest(self, unit: bytes, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to ``n`` best (score, slots) of a unit, best first.
@@ -235,8 +248,10 @@ class Segmenter:
         self.lists[unit] = out
         return out
 
-    def text_nbest(self, text: bytes, n: int) -> tuple[list[int], float, list[tuple[float, list]]]:
-        """Slots and score of the best segmentation of a text, and the ``n`` best of all.
+    def text_nbest(
+        self, units: list[bytes], n: int
+    ) -> tuple[np.ndarray, float, list[tuple[float, list]]]:
+        """Slots and score of the best segmentation of a text's units, and the ``n`` best of all.
 
         Of units only the ``n - 1`` whose second segmentations lose least can differ from their
         best ones in any of the ``n`` best texts: with another unit changed there are already
@@ -244,12 +259,12 @@ class Segmenter:
         Each of the ``n`` is (score, changes), a change being (place in slots, number of slots
         replaced, slots instead).
         """
-        units = units_of(text)
-        entries = [self.best(u) for u in units]
-        slots = list(chain.from_iterable(e[0] for e in entries))
-        score = math.fsum(e[1] for e in entries)
+        known, best = self.known.get, self.best
+        entries = [known(u) or best(u) for u in units]
+        slots = np.frombuffer(b"".join([e[0] for e in entries]), np.int32)
+        score = math.fsum([e[1] for e in entries])
         ranked: list[tuple[float, tuple]] = [(0.0, ())]
-        loss = np.fromiter((e[2] for e in entries), float, len(entries))
+        loss = np.array([e[2] for e in entries], float)
         few = min(n - 1, len(loss))
         near = np.argsort(loss, kind="stable")[:few]
         for k in sorted(near.tolist()):
@@ -263,18 +278,17 @@ class Segmenter:
                 for j, (s, way) in enumerate(ways)
             ]
             ranked = heapq.nsmallest(n, more, key=lambda x: x[0])
-        starts = np.cumsum([0, *(len(e[0]) for e in entries)]) if len(ranked) > 1 else None
+        sizes = [len(e[0]) // 4 for e in entries] if len(ranked) > 1 else []
+        starts = np.cumsum([0, *sizes])
         out = []
         for lost, changed in ranked:
-            edits = [(int(starts[k]), len(entries[k][0]), way) for k, way in sorted(changed)]
+            edits = [(int(starts[k]), sizes[k], way) for k, way in sorted(changed)]
             out.append((score - lost, edits))
         return slots, score, out
 
     def decoded(self, slots: list[int]) -> bytes:
         """The text of a segmentation; the mark put in front of it is taken off."""
-        pieces, first = self.vocabulary.pieces, self.first_byte
-        joined = b"".join([pieces[k] if k < first else bytes((k - first,)) for k in slots])
-        return joined[1:]
+        return self._joined(slots)[1:]
 
 
 def changed(ids: list[int], changes: list[dict]) -> list[int]:
@@ -310,14 +324,14 @@ def encoded(docs: DataFrame, n: int = 4, vocabulary_path: str = DEFAULT_VOCABULA
 
     def encode_rows(batch: pa.RecordBatch, segmenter: Segmenter) -> pa.RecordBatch:
         columns: dict[str, list] = {k: [] for k in ("n", "score", "ids", "nbest", "same")}
-        texts = batch.column("text").to_pylist()
-        segmenter.learn({u for text in texts for u in units_of(text or b"")})
-        for text in texts:
-            text = text or b""
-            slots, score, ranked = segmenter.text_nbest(text, n)
+        texts = [text or b"" for text in batch.column("text").to_pylist()]
+        units = [units_of(text) for text in texts]
+        segmenter.learn(set(chain.from_iterable(units)))
+        for text, parts in zip(texts, units, strict=True):
+            slots, score, ranked = segmenter.text_nbest(parts, n)
             columns["n"].append(len(slots))
             columns["score"].append(score)
-            columns["ids"].append(ids[slots] if slots else [])
+            columns["ids"].append(ids[slots])
             columns["nbest"].append(
                 [
                     {
@@ -331,7 +345,8 @@ def encoded(docs: DataFrame, n: int = 4, vocabulary_path: str = DEFAULT_VOCABULA
                     for s, edits in ranked
                 ]
             )
-            columns["same"].append(segmenter.decoded(slots) == text)
+            # the pieces of a unit give the unit, see _entry
+            columns["same"].append(b"".join(parts)[1:] == text)
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"),

@@ -88,14 +88,10 @@ def test_against_brute_force(spark, target, source):
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
-@given(target=targets, source=sources, listed=st.sampled_from([0, 100]))
-def test_written_against_brute_force(spark, tmp_path_factory, target, source, listed):
+@given(target=targets, source=sources)
+def test_written_against_brute_force(spark, tmp_path_factory, target, source):
     path = written(spark, tmp_path_factory.mktemp("merge"), target)
-    limit, merge.MAX_LISTED_DATES = merge.MAX_LISTED_DATES, listed
-    try:
-        merge.merge_into(spark, path, frame(spark, source))
-    finally:
-        merge.MAX_LISTED_DATES = limit
+    merge.merge_into(spark, path, frame(spark, source))
     assert rows_of(scan_layer(spark, path)) == brute_force(target, source)
 
 
@@ -132,7 +128,7 @@ def files_of(spark, path):
     return {tuple(r) for r in found.distinct().collect()}
 
 
-def test_only_dates_with_updates_are_rewritten(spark, tmp_path):
+def test_only_dates_in_question_are_rewritten(spark, tmp_path):
     target = [(i, "t", D1 + timedelta(days=i)) for i in range(6)]
     path = written(spark, tmp_path, target)
     before = files_of(spark, path)
@@ -141,7 +137,7 @@ def test_only_dates_with_updates_are_rewritten(spark, tmp_path):
     after = files_of(spark, path)
     gone = {p.split("partitionDate=")[1].split("/")[0] for p, _ in before - after}
     new = {p.split("partitionDate=")[1].split("/")[0] for p, _ in after - before}
-    assert gone == {"2020-01-03"}
+    assert gone == {"2020-01-03", "2020-01-05"}
     assert new == {"2020-01-03", "2020-01-05"}
     assert rows_of(scan_layer(spark, path)) == brute_force(target, source)
 
@@ -189,3 +185,57 @@ def test_staged_rows_are_removed(spark, tmp_path):
         path = s.path
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
+
+
+class Broken(RuntimeError):
+    pass
+
+
+@pytest.mark.parametrize("phase", ["before the note", "before the commit", "after half of it"])
+def test_a_failed_merge_can_be_run_again(spark, tmp_path, monkeypatch, phase):
+    """Repeated new keys, null keys and kept rows come out once, whatever failed."""
+    target = [*TARGET, (9, "kept", D1), (8, "kept", D2)]
+    source = [(1, "A", D1), (7, "x", D2), (7, "y", D2), (None, "N", D1), (5, "new", D3)]
+    path = written(spark, tmp_path, target)
+    real = merge.overwrite_partitions
+
+    def half(rows, *args):
+        real(rows.where(F.col("partitionDate") == F.lit(D1)), *args)
+        raise Broken
+
+    def never(*args):
+        raise Broken
+
+    with monkeypatch.context() as patched:
+        if phase == "before the note":
+            patched.setattr(merge, "_updated", never)
+        else:
+            patched.setattr(merge, "overwrite_partitions", half if "half" in phase else never)
+        with pytest.raises(Broken):
+            merge.merge_into(spark, path, frame(spark, source))
+    if phase == "before the note":
+        assert rows_of(scan_layer(spark, path)) == sorted(target, key=repr)
+        merge.merge_into(spark, path, frame(spark, source))
+    else:
+        assert merge.finish_merge(spark, path)
+    assert rows_of(scan_layer(spark, path)) == brute_force(target, source)
+    assert not merge.finish_merge(spark, path)
+
+
+def test_target_is_pruned_by_the_dates(spark, tmp_path):
+    from tierfold.session import settings_during
+
+    target = [(i, "t", D1 + timedelta(days=i % 40)) for i in range(400)]
+    path = written(spark, tmp_path, target)
+    source = frame(spark, [(2, "U", D1 + timedelta(days=2)), (500, "I", D1 + timedelta(days=4))])
+    table = scan_layer(spark, path)
+    actions = merge._classified(table, source, "mongoId", "partitionDate")
+    # a broadcast threshold below the size of anything but the few dates
+    with settings_during(spark, {"spark.sql.autoBroadcastJoinThreshold": "2k"}):
+        with merge._dates(actions, "partitionDate") as dates:
+            rows = merge._on_dates(table, dates, "partitionDate")
+            assert {r[2] for r in rows.collect()} == {D1 + timedelta(days=2), D1 + timedelta(days=4)}
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.splitlines() if "FileScan" in x and "mongoId" in x)
+    assert "IN dynamicpruning" in plan or "dynamicpruning#" in scan
+    assert "dynamicpruningexpression(true)" not in plan

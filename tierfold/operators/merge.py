@@ -14,20 +14,23 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierfold.sinks.files import append_partitioned, overwrite_partitions
+from tierfold.session import settings_during
+from tierfold.sinks.files import overwrite_partitions
 from tierfold.sources.tables import scan_layer
-from tierfold.staging import staged
+from tierfold.staging import delete_tree, path_exists, shared_folder, staged
 
 log = logging.getLogger(__name__)
 
-# Up to this many dates are named in the plan, so that Spark lists and reads only those
-# partitions; for more dates the same selection is done by a join.
-MAX_LISTED_DATES = 4_000
+# Names, in the table's folder, the staged rows of a merge whose commit has begun. Readers
+# skip names that start with an underscore.
+PENDING = "_pending_merge"
 
 ACTION = "_merge_action"
 UPDATE, INSERT = "update", "insert"
@@ -120,11 +123,10 @@ def merged(
     """The table after the upsert, as one DataFrame; nothing is written."""
     source = _with_types_of(target, source)
     check_source(target, source, key)
-    known = _keys(target, key)
-    # Only rows with a known key, one per key, go to the side that cannot be split.
-    candidates = source.join(known, key, "left_semi").select(source.columns)
-    inserts = source.join(known, key, "left_anti").select(source.columns)
-    changed = _updated(target, candidates, key, guard)
+    actions = _classified(target, source, key, guard)
+    updates = actions.where(F.col(ACTION) == UPDATE).drop(ACTION)
+    inserts = actions.where(F.col(ACTION) == INSERT).drop(ACTION)
+    changed = _updated(target, updates, key, guard)
     return changed.unionByName(inserts, allowMissingColumns=True)
 
 
@@ -141,25 +143,30 @@ def merge_into(
     """Upsert into the table at ``path``, which is partitioned by ``guard``.
 
     ``target`` is a scan of that table if the caller has one; ``partitions`` is passed to
-    the writers (for rewrites it is at least the number of dates by default).
+    the writer (for the fewest files at least the number of dates).
 
-    Delta tables use Delta's own MERGE (no statistics). Other tables:
+    Delta tables use Delta's own MERGE (no statistics). Other tables, in the same way at
+    every size:
 
-    1. count the source keys and refuse ambiguous ones;
-    2. join the source to the target's (key, guard) pairs, and stage the rows to update
+    1. finish an earlier merge whose commit was interrupted;
+    2. count the source keys and refuse ambiguous ones;
+    3. join the source to the target's (key, guard) pairs, and stage the rows to update
        and to insert;
-    3. append the inserts for dates that hold no update, without reading those dates;
-    4. rewrite the dates that hold updates, by dynamic partition overwrite.
-
-    Running it again after a failure between 3 and 4 gives the same table: the appended
-    rows are then updates with the same values. The commit is per partition and there must
-    be one writer at a time.
+    4. stage the new contents of every date that is updated or inserted into; dates are a
+       small dataset of their own, so that Spark prunes the target by them;
+    5. note the staged contents beside the table and put them in place, in one dynamic
+       partition overwrite; then drop the note and the stage.
+
+    A failure before 5 leaves the table as it was, and the merge can simply be run again. A
+    failure inside 5 leaves the stage, which holds every row of the dates concerned; the
+    next merge into the table, or ``finish_merge``, puts it in place first. Readers may see
+    some dates before others meanwhile, and there must be one writer at a time.
     """
     if table_format == "delta":
         _merge_delta(spark, path, source, key, guard)
         return None
 
-    if target is None:
+    if finish_merge(spark, path, guard, table_format, partitions) or target is None:
         target = scan_layer(spark, path, table_format)
     source = _with_types_of(target, source)
     source_rows = check_source(target, source, key)
@@ -176,28 +183,69 @@ def merge_into(
         },
     ) as stage:
         stats = MergeStats(source_rows, stage.counts[UPDATE], stage.counts[INSERT])
-        updates = stage.df.where(F.col(ACTION) == UPDATE).drop(ACTION)
-        inserts = stage.df.where(F.col(ACTION) == INSERT).drop(ACTION)
-        if stats.updated == 0:
-            if stats.inserted:
-                append_partitioned(inserts, path, table_format, guard, partitions)
-        else:
-            touched, inserts_there, inserts_elsewhere, dates = _split_by_dates(
-                target, updates, inserts, guard
-            )
-            if partitions is None:
-                partitions = max(dates, int(spark.conf.get("spark.sql.shuffle.partitions")))
-            if stats.inserted:
-                append_partitioned(inserts_elsewhere, path, table_format, guard, partitions)
-            rewritten = _updated(touched, updates, key, guard)
-            if stats.inserted:
-                rewritten = rewritten.unionByName(inserts_there, allowMissingColumns=True)
-            overwrite_partitions(rewritten, path, table_format, guard, partitions)
+        if stats.updated or stats.inserted:
+            updates = stage.df.where(F.col(ACTION) == UPDATE).drop(ACTION)
+            inserts = stage.df.where(F.col(ACTION) == INSERT).drop(ACTION)
+            contents = shared_folder(spark, "merge-contents")
+            with _dates(stage.df, guard) as dates:
+                rewritten = _updated(_on_dates(target, dates, guard), updates, key, guard)
+                rewritten.unionByName(inserts, allowMissingColumns=True).write.parquet(contents)
+            note = spark.createDataFrame([(contents,)], "value string").coalesce(1)
+            note.write.mode("overwrite").text(f"{path}/{PENDING}")
+            finish_merge(spark, path, guard, table_format, partitions)
     if stats.dropped:
         log.warning("%s: %d source rows dropped, their %s differs", path, stats.dropped, guard)
     return stats
 
 
+def finish_merge(
+    spark: SparkSession,
+    path: str,
+    guard: str = "partitionDate",
+    table_format: str = "parquet",
+    partitions: int | None = None,
+) -> bool:
+    """Put the staged contents of a begun merge in place; whether there was one.
+
+    Can be repeated until it succeeds: the stage is deleted last.
+    """
+    note = f"{path}/{PENDING}"
+    if not path_exists(spark, f"{note}/_SUCCESS"):
+        return False
+    contents = spark.read.text(note).first()[0]
+    if path_exists(spark, contents):
+        try:
+            overwrite_partitions(
+                spark.read.parquet(contents), path, table_format, guard, partitions
+            )
+        except Exception as error:
+            error.add_note(f"the new contents of {path} are in {contents}; run the merge again")
+            raise
+    delete_tree(spark, note)
+    delete_tree(spark, contents)
+    return True
+
+
+@contextmanager
+def _dates(actions: DataFrame, guard: str) -> Iterator[DataFrame]:
+    """The distinct dates, as a dataset of their own that is read by an equality filter.
+
+    That is the form in which Spark prunes the other side of a join at run time, by the
+    dates it finds.
+    """
+    dates = actions.select(F.col(guard).alias("_date")).distinct().withColumn("_of", F.lit("dates"))
+    with staged(dates, "merge-dates", partition_by="_of") as stage:
+        yield stage.df.where(F.col("_of") == "dates").select("_date")
+
+
+def _on_dates(target: DataFrame, dates: DataFrame, guard: str) -> DataFrame:
+    """Rows of the target on these dates; rows without a date too, if null is among them."""
+    on = target.join(dates, target[guard] == dates["_date"], "left_semi").select(target.columns)
+    if dates.where(F.col("_date").isNull()).isEmpty():
+        return on
+    return on.union(target.where(F.col(guard).isNull()).select(target.columns))
+
+
 def _classified(target: DataFrame, source: DataFrame, key: str, guard: str) -> DataFrame:
     """Source rows to update or insert, with the action in a column.
 
@@ -218,37 +266,18 @@ def _classified(target: DataFrame, source: DataFrame, key: str, guard: str) -> D
     )
 
 
-def _split_by_dates(
-    target: DataFrame, updates: DataFrame, inserts: DataFrame, guard: str
-) -> tuple[DataFrame, DataFrame, DataFrame, int]:
-    """Target rows and inserts on dates with updates, the inserts on other dates, and the
-    number of dates with updates as far as they were listed."""
-    dates = updates.select(guard).distinct()
-    listed = [row[0] for row in dates.limit(MAX_LISTED_DATES + 1).collect()]
-    if len(listed) <= MAX_LISTED_DATES:
-        hit = F.coalesce(F.col(guard).isin(listed), F.lit(False))
-        pruned = F.col(guard).isin(listed)
-        return target.where(pruned), inserts.where(pruned), inserts.where(~hit), len(listed)
-    return (
-        target.join(dates, guard, "left_semi").select(target.columns),
-        inserts.join(dates, guard, "left_semi").select(inserts.columns),
-        inserts.join(dates, guard, "left_anti").select(inserts.columns),
-        len(listed),
-    )
-
-
 def _merge_delta(
     spark: SparkSession, path: str, source: DataFrame, key: str, guard: str
 ) -> None:
-    spark.conf.set("spark.databricks.delta.schema.autoMerge.enabled", "true")
     view = f"merge_source_{uuid.uuid4().hex}"
     source.createOrReplaceTempView(view)
     try:
-        spark.sql(
-            f"""MERGE INTO delta.`{path}` AS old USING {view} AS new
+        with settings_during(spark, {"spark.databricks.delta.schema.autoMerge.enabled": "true"}):
+            spark.sql(
+                f"""MERGE INTO delta.`{path}` AS old USING {view} AS new
                 ON new.{key} = old.{key}
                 WHEN MATCHED AND new.{guard} = old.{guard} THEN UPDATE SET *
                 WHEN NOT MATCHED THEN INSERT *"""
-        )
+            )
     finally:
         spark.catalog.dropTempView(view)

@@ -42,12 +42,18 @@ def build_session(
 
 @contextmanager
 def settings_during(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
-    """Change runtime settings for the length of a block."""
-    before = {key: spark.conf.get(key) for key in settings}
+    """Change runtime settings for the length of a block; unset ones are unset again.
+
+    Settings belong to the session, so jobs that share one must not run side by side.
+    """
+    before = {key: spark.conf.get(key, None) for key in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
         yield
     finally:
         for key, value in before.items():
-            spark.conf.set(key, value)
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)

@@ -83,6 +83,11 @@ def qualified(spark: SparkSession, path: str) -> str:
     return file_system.makeQualified(hadoop_path).toString()
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    return file_system.exists(hadoop_path)
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     """Remove a file or folder on whatever file system the path names; absent is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from datetime import date
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,7 +135,40 @@ def test_retention_reports_nothing_for_a_whole_table(spark, lake, patients):
     config, _ = lake
     jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
     config = LakeConfig(root=config.root, retention_hours=0)
-    assert jobs.retention(spark, config, "patient").isEmpty()
+    assert jobs.retention(spark, config, "patient") is None
+    jobs.raw_ingest(spark, put(spark, config, "user", patients), "user")
+    found = jobs.retention(spark, config, "patient", f"{config.root}/raw.user").count()
+    assert found == len(list(Path(config.root, "raw.user").rglob("*.parquet")))
+
+
+def test_a_failed_first_clean_load_can_be_run_again(spark, lake, patients):
+    config, _ = lake
+    jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
+    (Path(config.clean_path("patient")) / "_temporary").mkdir(parents=True)
+    assert jobs.clean_load(spark, config, "patient").inserted == patients.count()
+    assert jobs.clean_load(spark, config, "patient").updated == patients.count()
+    assert scan_layer(spark, config.clean_path("patient")).count() == patients.count()
+
+
+def test_document_copies_of_other_types_are_refused(spark, lake, sf_dir):
+    config, _ = lake
+    documents = fixtures.raw_patient_with_address(spark, sf_dir)
+    path = config.raw_path("patient")
+    assert jobs.document_copy(spark, put(spark, config, "patient", documents), path) > 0
+    changed = documents.withColumn("active", F.struct(F.lit("yes").alias("value")))
+    with pytest.raises(SchemaMismatch, match="active.value"):
+        jobs.document_copy(spark, put(spark, config, "patient", changed), path)
+    assert "address1" in scan_layer(spark, path).columns
+
+
+def test_since_and_a_schema_reach_the_scan(spark, lake, patients):
+    config, _ = lake
+    jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
+    path = config.raw_path("patient")
+    schema = scan_layer(spark, path).schema
+    table = table_or_none(spark, path, schema=schema, since=date(2020, 2, 1))
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partitionDate" in plan and ">= 2020-02-01" in plan
 
 
 def test_errors_are_raised(spark, lake):
@@ -149,7 +185,7 @@ def test_command_line(spark, lake, patients, monkeypatch, capsys):
     assert cli.main(["processMongoRawData", "patient"]) == patients.count()
     assert cli.main(["cleanMongoRawData", "patient"]).inserted == patients.count()
     assert cli.main(["loadDiscreteDataInMysql", "patient"]) == patients.count()
-    assert cli.main(["cleanFile", "--show"]).isEmpty()
+    assert cli.main(["cleanFile", "--show"]) is None
     with pytest.raises(SystemExit):
         cli.main(["loadAggregatedDataInMysql", "patient"])
     with pytest.raises(SystemExit):

@@ -233,13 +233,18 @@ def test_jdbc_mart_repeats_until_the_counts_agree(spark, monkeypatch):
     monkeypatch.setattr(
         DataFrameWriter,
         "jdbc",
-        lambda self, url, table, mode=None, properties=None: calls.append((url, table, properties)),
+        lambda self, url, table, mode=None, properties=None: (
+            calls.append((url, table, properties)),
+            self.format("noop").mode("overwrite").save(),
+        ),
     )
     mart = RecordedMart("jdbc:x", {"user": "u"}, connections=4)
     object.__setattr__(mart, "stored", [5, 3])
     assert mart.overwrite(spark.range(3), "t") == 3
     expected = {"user": "u", "numPartitions": "4", "batchsize": "10000"}
     assert calls == [("jdbc:x", "t", expected)] * 2
+    own = JdbcMart("jdbc:x", {"batchsize": "500", "numPartitions": "2"}).writer_options()
+    assert own == {"batchsize": "500", "numPartitions": "2"}
     object.__setattr__(mart, "stored", [4, 4])
     with pytest.raises(RowsMissing):
         mart.overwrite(spark.range(3), "t")
@@ -259,7 +264,9 @@ def test_stale_files_are_reported_then_deleted(spark, tmp_path):
     root = f"{tmp_path}/snap shots"
     create_partitioned(rows, f"{root}/old")
     create_partitioned(rows, f"{root}/new")
-    live = scan_layer(spark, f"{root}/new")
+    empty = rows.limit(0)
+    empty.write.parquet(f"{root}/new/partitionDate=2020-03-01")  # live, though without rows
+    live = f"{root}/new"
     assert stale_files(spark, root, live, older_than_hours=1).isEmpty()
     report = stale_files(spark, root, live, older_than_hours=0)
     assert report.columns == ["path", "modificationTime", "length"]

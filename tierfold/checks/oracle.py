@@ -184,6 +184,8 @@ ORACLE_SQL: dict[str, str] = {
     "row_count": f"WITH {CLEAN_USER} SELECT COUNT(*) AS row_count FROM clean_user",
     "merge_upsert": MERGED,
     "merge_written": MERGED,
+    "merge_resumed": MERGED,
+    "latest_per_key": FLAT_DATED,
     "schema_evolution": EVOLVED,
     "append_partitioned": f"{FLAT_DATED} UNION ALL ({FLAT_DATED})",
     "create_partitioned": PATIENT_ROWS,
@@ -194,7 +196,12 @@ ORACLE_SQL: dict[str, str] = {
     "sql_over_path": f"""WITH {RAW_PATIENT} SELECT _id, born AS "birthDate",
         maritalStatus AS "maritalStatus" FROM raw_patient""",
     "job_raw_ingest": FLAT_DATED,
+    "job_raw_ingest_json": FLAT_DATED,
     "job_clean_patient": PATIENT_ROWS,
+    "job_clean_since": f"""WITH {CLEAN_PATIENT} SELECT * FROM clean_patient
+        WHERE CAST("lastUpdated" AS DATE) >= DATE '2020-02-01'""",
+    "job_retention": f"""WITH {RAW_PATIENT}
+        SELECT DISTINCT CAST(lastUpdated AS DATE) AS "partitionDate" FROM raw_patient""",
     "job_clean_user": USER_ROWS,
     "job_mart_load": PATIENT_ROWS,
     "job_mart_from_raw": f"""WITH {CLEAN_PATIENT}

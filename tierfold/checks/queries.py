@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from dataclasses import replace
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -287,6 +288,32 @@ def merge_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.scan_layer(spark, path)
 
 
+@query
+def merge_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert again, stopped on purpose once its new contents are noted, then finished."""
+    path = shared_folder(spark, "clean.patient")
+    sinks.create_partitioned(merge_target(spark, sf_dir), path)
+    try:
+        # Spark takes no partitioning into minus one part, so the commit fails
+        merge.merge_into(spark, path, merge_source(spark, sf_dir), partitions=-1)
+    except Exception:
+        if not merge.finish_merge(spark, path):
+            raise
+    return sources.scan_layer(spark, path)
+
+
+@query
+def latest_per_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw documents ingested twice, the second time a day later: the newer row of each."""
+    rows = columns.with_raw_partition(fixtures.raw_patient(spark, sf_dir))
+    path = shared_folder(spark, "raw.patient")
+    older = rows.withColumn("lastUpdated", F.col("lastUpdated") - F.expr("INTERVAL 1 DAY"))
+    sinks.append_partitioned(columns.with_raw_partition(older), path)
+    sinks.append_partitioned(rows, path)
+    raw = sources.scan_layer(spark, path, schema=rows.schema)
+    return _flat_patient_dated(columns.latest_per_key(raw, "_id", "lastUpdated"))
+
+
 @query
 def schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Append, then merge, rows that have a column the table lacks."""
@@ -359,8 +386,7 @@ def stale_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = clean_patient(spark, sf_dir)
     sinks.create_partitioned(rows, f"{root}/old")
     sinks.create_partitioned(rows, f"{root}/new")
-    live = sources.scan_layer(spark, f"{root}/new")
-    report = sinks.stale_files(spark, root, live, older_than_hours=0)
+    report = sinks.stale_files(spark, root, f"{root}/new", older_than_hours=0)
     day = F.regexp_extract("path", r"/old/partitionDate=([0-9-]+)/", 1)
     return report.select(day.cast("date").alias("partitionDate")).distinct()
 
@@ -401,15 +427,62 @@ def job_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_patient_dated(sources.scan_layer(spark, config.raw_path("patient")))
 
 
+def _raw_schema(spark: SparkSession, sf_dir: str) -> StructType:
+    return columns.with_raw_partition(fixtures.raw_patient(spark, sf_dir)).schema
+
+
+@query
+def job_raw_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in the default format, JSON; timestamps are typed."""
+    root = shared_folder(spark, "lake")
+    config = LakeConfig(root=root, source_root=f"{root}/source")
+    fixtures.raw_patient(spark, sf_dir).write.json(f"{config.source_root}/patient")
+    jobs.raw_ingest(spark, config, "patient")
+    return _flat_patient_dated(sources.scan_layer(spark, config.raw_path("patient")))
+
+
 @query
 def job_clean_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two runs: the second upserts the same rows."""
+    """Two ingests: even ids, then all with another gender, so the second run updates and adds."""
+    root = shared_folder(spark, "lake")
+    patients = fixtures.raw_patient(spark, sf_dir)
+    changed = F.struct(F.concat("gender.value", F.lit("*")).alias("value"))
+    first = patients.where("_id % 2 = 0").withColumn("gender", changed)
+    for name, documents in (("first", first), ("second", patients)):
+        config = LakeConfig(root=root, source_root=f"{root}/{name}", source_format="parquet")
+        documents.withColumn(
+            "lastUpdated", F.col("lastUpdated") - F.expr(f"INTERVAL {int(name == 'first')} DAY")
+        ).write.parquet(f"{config.source_root}/patient")
+        jobs.raw_ingest(spark, config, "patient")
+        jobs.clean_load(
+            spark, config, "patient", _raw_schema(spark, sf_dir), latest=True, extra_columns=False
+        )
+    return sources.scan_layer(spark, config.clean_path("patient"))
+
+
+@query
+def job_clean_since(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only raw rows ingested from a day on are read and cleaned."""
     config, _ = _lake(spark, sf_dir, "patient")
-    jobs.clean_load(spark, config, "patient")
-    jobs.clean_load(spark, config, "patient")
+    schema = _raw_schema(spark, sf_dir)
+    jobs.clean_load(spark, config, "patient", schema, since=date(2020, 2, 1))
     return sources.scan_layer(spark, config.clean_path("patient"))
 
 
+@query
+def job_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates of the files of a superseded copy beside the raw table."""
+    config, _ = _lake(spark, sf_dir, "patient")
+    raw = sources.scan_layer(spark, config.raw_path("patient"))
+    sinks.create_partitioned(raw, f"{config.root}/backup/raw.patient")
+    config = replace(config, retention_hours=0)
+    jobs.raw_ingest(spark, config, "patient")  # the live table goes on
+    report = jobs.retention(spark, config, "patient", config.root)
+    day = F.regexp_extract("path", r"/backup/raw\.patient/partitionDate=([0-9-]+)/", 1)
+    found = report.select(day.alias("day")).where("day <> ''")
+    return found.select(F.col("day").cast("date").alias("partitionDate")).distinct()
+
+
 @query
 def job_clean_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     config, _ = _lake(spark, sf_dir, "user")

@@ -25,12 +25,14 @@ class LakeConfig:
     raw_prefix: str = "raw."
     clean_prefix: str = "clean."
     retention_hours: float = 1.0
+    retention_root: str | None = None
     write_partitions: int | None = None
     source_root: str | None = None
     source_format: str = "json"
     source_options: dict[str, str] = field(default_factory=dict)
     jdbc_url: str | None = None
     jdbc_properties: dict[str, str] = field(default_factory=dict)
+    jdbc_connections: int = 16
     mart_root: str | None = None
 
     def raw_path(self, collection: str) -> str:
@@ -64,10 +66,12 @@ class LakeConfig:
             clean_prefix=conf.get("cleanPrefix", cls.clean_prefix),
             retention_hours=float(conf.get("retentionHours", cls.retention_hours)),
             write_partitions=int(conf["writePartitions"]) if "writePartitions" in conf else None,
+            retention_root=conf.get("retentionRoot"),
             source_root=conf.get("source.root"),
             source_format=conf.get("source.format", cls.source_format),
             source_options=below("source.option."),
             jdbc_url=conf.get("jdbc.url"),
             jdbc_properties=below("jdbc.property."),
+            jdbc_connections=int(conf.get("jdbc.connections", cls.jdbc_connections)),
             mart_root=conf.get("mart.root"),
         )

@@ -1,20 +1,21 @@
 """The jobs: compositions of sources, operators and sinks.
 
-Every job gates on non-empty input, evaluates each result once, and raises on failure.
-Missing tables and empty inputs write nothing. Row counts come from the writes themselves.
+Every job but ``patient_mart_direct`` gates on non-empty input; all raise on failure. Missing
+tables write nothing. Row counts come from the writes themselves.
 """
 
 from __future__ import annotations
 
 import logging
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from tierfold.config import LakeConfig
 from tierfold.operators.clean import CLEANERS, patient_rows
-from tierfold.operators.columns import copy_column, with_raw_partition
+from tierfold.operators.columns import copy_column, latest_per_key, with_raw_partition
 from tierfold.operators.marts import (
     activity_counts,
     join_renamed,
@@ -27,12 +28,12 @@ from tierfold.sinks.marts import Mart
 from tierfold.sinks.retention import stale_files, vacuum_delta
 from tierfold.sources import (
     ensure_appendable,
+    has_data,
     scan_collection,
-    scan_layer,
     scan_parquet,
     table_or_none,
 )
-from tierfold.staging import staged
+from tierfold.staging import path_exists, staged
 
 log = logging.getLogger(__name__)
 
@@ -77,32 +78,60 @@ def raw_ingest(
     return rows
 
 
-def _cleaned(spark: SparkSession, config: LakeConfig, collection: str) -> DataFrame | None:
+def _cleaned(
+    spark: SparkSession,
+    config: LakeConfig,
+    collection: str,
+    raw_schema: StructType | None = None,
+    since: date | None = None,
+    latest: bool = False,
+) -> DataFrame | None:
     """Clean rows from the raw table; None for an unknown collection or a missing table."""
     clean = CLEANERS.get(collection)
     if clean is None:
         log.error("%s: no clean step is defined", collection)
         return None
-    raw = table_or_none(spark, config.raw_path(collection), config.table_format)
-    return None if raw is None else clean(raw)
-
+    raw = table_or_none(
+        spark, config.raw_path(collection), config.table_format, raw_schema, since
+    )
+    if raw is None:
+        return None
+    return clean(latest_per_key(raw, "_id", "lastUpdated") if latest else raw)
 
-def clean_load(spark: SparkSession, config: LakeConfig, collection: str) -> MergeStats | None:
-    """Bring the clean table up to date with the raw table.
 
-    The first run creates the table as is, duplicates included; later runs upsert.
+def clean_load(
+    spark: SparkSession,
+    config: LakeConfig,
+    collection: str,
+    raw_schema: StructType | None = None,
+    since: date | None = None,
+    latest: bool = False,
+    extra_columns: bool = True,
+) -> MergeStats | None:
+    """Bring the clean table up to date with the raw table; None if there is nothing to clean.
+
+    The first run creates the table as is, duplicates included; later runs upsert. With
+    ``raw_schema`` no footers of the raw table are merged, and without ``extra_columns``
+    (columns other writers may have added to the clean table) none of the clean one. ``since``
+    reads the raw rows ingested from that day on, by their partition date. ``latest`` takes
+    the newest raw row of each document, without which a document that was ingested twice
+    is refused by the merge.
     """
-    rows = _cleaned(spark, config, collection)
+    rows = _cleaned(spark, config, collection, raw_schema, since, latest)
     if rows is None or rows.isEmpty():
         log.warning("%s: nothing to clean", collection)
         return None
     path = config.clean_path(collection)
-    target = table_or_none(spark, path, config.table_format)
+    schema = None if extra_columns else rows.schema
+    target = table_or_none(spark, path, config.table_format, schema)
     layout = {"table_format": config.table_format, "partitions": config.write_partitions}
-    if target is None:
-        written = create_partitioned(rows, path, **layout)
+    if target is None or (schema is not None and not has_data(spark, path, config.table_format)):
+        # a first load that failed leaves a folder without data files
+        first = append_partitioned if path_exists(spark, path) else create_partitioned
+        written = first(rows, path, **layout)
         return MergeStats(written, 0, written)
-    return merge_into(spark, path, rows, target=target, **layout)
+    merged = merge_into(spark, path, rows, target=target, **layout)
+    return merged if merged is not None else MergeStats(-1, -1, -1)  # Delta tells no counts
 
 
 def _load_mart(df: DataFrame | None, mart: Mart, table: str) -> int:
@@ -166,6 +195,10 @@ def document_copy(
     if documents.isEmpty():
         return 0
     rows = copy_column(with_raw_partition(documents))
+    if not as_json:
+        table = table_or_none(spark, path, config.table_format)
+        if table is not None:
+            ensure_appendable(table, rows)
     if as_json:
         return append_json(rows, path, partitions=config.write_partitions)
     return append_partitioned(
@@ -178,14 +211,23 @@ def object_store_rows(spark: SparkSession, *uris: str) -> DataFrame:
     return with_raw_partition(scan_parquet(spark, *uris))
 
 
-def retention(spark: SparkSession, config: LakeConfig, collection: str) -> DataFrame | None:
-    """Clean up a raw table: Delta deletes files itself, otherwise a report is returned."""
+def retention(
+    spark: SparkSession, config: LakeConfig, collection: str, root: str | None = None
+) -> DataFrame | None:
+    """Clean up a raw table: Delta deletes files itself, otherwise a report is returned.
+
+    The report has the old files below ``root`` that are not the table's. A Parquet table's
+    own folder holds nothing else, so without a wider ``root`` there is nothing to compare and
+    None is returned.
+    """
     path = config.raw_path(collection)
     if config.table_format == "delta":
         vacuum_delta(spark, path, config.retention_hours)
         return None
-    live = scan_layer(spark, path, config.table_format)
-    return stale_files(spark, path, live, config.retention_hours)
+    if root is None:
+        log.warning("%s: every file of its own folder is live", path)
+        return None
+    return stale_files(spark, root, path, config.retention_hours)
 
 
 def patient_mart_direct(spark: SparkSession, config: LakeConfig, mart: Mart) -> int:
@@ -196,8 +238,8 @@ def patient_mart_direct(spark: SparkSession, config: LakeConfig, mart: Mart) ->
 
 # The action names users start jobs by, and how many collections each takes.
 ACTIONS: dict[str, tuple[int, Callable]] = {
-    "processData": (0, lambda s, c, m: document_copy(s, c, c.raw_path("patientCopy"))),
-    "cleanFile": (0, lambda s, c, m: retention(s, c, "patient")),
+    "processData": (0, lambda s, c, m: document_copy(s, c, c.raw_path("patient"))),
+    "cleanFile": (0, lambda s, c, m: retention(s, c, "patient", c.retention_root)),
     "cleanData": (0, lambda s, c, m: patient_mart_direct(s, c, m())),
     "processMongoRawData": (1, lambda s, c, m, name: raw_ingest(s, c, name)),
     "cleanMongoRawData": (1, lambda s, c, m, name: clean_load(s, c, name)),

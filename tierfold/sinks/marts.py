@@ -28,7 +28,8 @@ class JdbcMart:
     The writer opens one connection per task, at most ``connections`` at a time. Each task
     is one transaction; a task repeated after its executor was lost just past the commit
     would leave its rows twice, so the table is counted afterwards (in the database) and
-    the overwrite, which drops and recreates the table, is repeated on a difference.
+    the overwrite, which drops and recreates the table, is repeated on a difference. Rows are
+    counted as they are written. ``properties`` of the user win over the defaults here.
     """
 
     url: str
@@ -43,9 +44,13 @@ class JdbcMart:
         ]
         if nested:
             raise TypeError(f"{table}: nested columns cannot go to a database: {nested}")
-        rows = df.count()
         for _ in range(self.attempts):
-            df.write.mode("overwrite").jdbc(self.url, table, properties=self.writer_options())
+            observed = Observation()
+            counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+            counted.write.mode("overwrite").jdbc(
+                self.url, table, properties=self.writer_options()
+            )
+            rows = observed.get["rows"]
             stored = self._stored_rows(df.sparkSession, table)
             if stored == rows:
                 return rows
@@ -53,9 +58,9 @@ class JdbcMart:
 
     def writer_options(self) -> dict[str, str]:
         return {
-            **self.properties,
             "numPartitions": str(self.connections),
             "batchsize": str(self.batch_size),
+            **self.properties,
         }
 
     def _stored_rows(self, spark: SparkSession, table: str) -> int:
@@ -82,7 +87,7 @@ class FileMart:
 
 def mart_from_config(config: LakeConfig) -> Mart:
     if config.jdbc_url is not None:
-        return JdbcMart(config.jdbc_url, config.jdbc_properties)
+        return JdbcMart(config.jdbc_url, config.jdbc_properties, config.jdbc_connections)
     if config.mart_root is not None:
         return FileMart(config.mart_root)
     raise ValueError("neither a JDBC url nor a mart folder is configured")

@@ -5,34 +5,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierfold.session import settings_during
 from tierfold.staging import delete_tree, qualified
 
 
-def live_files(table: DataFrame) -> DataFrame:
-    """Paths of the files a scan reads; no column of the table is read for it."""
-    return table.select(F.col("_metadata.file_path").alias("uri")).distinct()
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each file below ``root``; contents are not among the columns read."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(root)
+        .select(F.col("_metadata.file_path").alias("uri"), "path", "modificationTime", "length")
+    )
 
 
 def stale_files(
-    spark: SparkSession, root: str, live: DataFrame, older_than_hours: float = 1.0
+    spark: SparkSession, root: str, live: str, older_than_hours: float = 1.0
 ) -> DataFrame:
-    """Files under ``root`` that the table scan ``live`` does not read.
+    """Files under ``root`` that are not below the live table's folder ``live``.
 
-    Columns path, modificationTime and length. Only files at least ``older_than_hours``
+    Files are compared, not rows, so a live file without rows is live. Columns path, modificationTime and length. Only files at least ``older_than_hours``
     old are listed. A report; see ``delete_stale``.
     """
     age_limit = F.current_timestamp() - F.make_dt_interval(
         secs=F.lit(older_than_hours * 3600).cast("decimal(18,6)")
     )
-    listing = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(root)
-        .where(F.col("modificationTime") <= age_limit)
-        # Same spelling as in live_files; contents are not among the columns read.
-        .select(F.col("_metadata.file_path").alias("uri"), "path", "modificationTime", "length")
-    )
-    return listing.join(live_files(live), "uri", "left_anti").drop("uri")
+    listing = _files(spark, root).where(F.col("modificationTime") <= age_limit)
+    kept = _files(spark, live).select("uri")
+    return listing.join(kept, "uri", "left_anti").drop("uri")
 
 
 def delete_stale(report: DataFrame, root: str) -> int:
@@ -53,5 +53,6 @@ def delete_stale(report: DataFrame, root: str) -> int:
 
 def vacuum_delta(spark: SparkSession, path: str, hours: float) -> None:
     """Delta's own clean-up, with its safety check off as short retentions need it."""
-    spark.conf.set("spark.databricks.delta.retentionDurationCheck.enabled", "false")
-    spark.sql(f"VACUUM delta.`{path}` RETAIN {hours} HOURS")
+    check = {"spark.databricks.delta.retentionDurationCheck.enabled": "false"}
+    with settings_during(spark, check):
+        spark.sql(f"VACUUM delta.`{path}` RETAIN {hours} HOURS")

@@ -10,6 +10,7 @@ from tierfold.sources.documents import (
 from tierfold.sources.tables import (
     SchemaMismatch,
     ensure_appendable,
+    has_data,
     scan_layer,
     scan_parquet,
     table_or_none,
@@ -19,6 +20,7 @@ __all__ = [
     "CORRUPT_COLUMN",
     "SchemaMismatch",
     "ensure_appendable",
+    "has_data",
     "scan_by_date_range",
     "scan_by_ids",
     "scan_collection",

@@ -15,6 +15,13 @@ CORRUPT_COLUMN = "_corrupt_record"
 DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]"
 
+# Fields of the document collections that JSON cannot tell from text.
+DOCUMENT_TYPES = {
+    "patient": "dateCreated TIMESTAMP, lastUpdated TIMESTAMP, birthDate STRUCT<value: TIMESTAMP>",
+    "user": "dateCreated TIMESTAMP, lastUpdated TIMESTAMP, lastLoginTimeStamp TIMESTAMP,"
+    " dob TIMESTAMP",
+}
+
 FILE_FORMATS = ("json", "parquet", "orc", "avro")
 
 
@@ -30,8 +37,13 @@ def scan_collection(
 
     File formats read ``root/collection``; any other format is taken as a connector that
     understands a ``collection`` option. Pass ``schema`` for large JSON collections:
-    inferring it costs one more full read.
+    inferring it costs one more full read. Where it is inferred from JSON, the types of
+    ``DOCUMENT_TYPES`` replace what was found for those fields.
     """
+    if schema is None and source_format == "json" and root is not None:
+        path = f"{root.rstrip('/')}/{collection}"
+        found = spark.read.options(**(options or {})).json(path).schema
+        schema = _with_types(found, StructType.fromDDL(DOCUMENT_TYPES.get(collection, "")))
     reader = (
         spark.read.format(source_format)
         .option("mode", PARSE_MODE)
@@ -47,6 +59,11 @@ def scan_collection(
     return reader.load(f"{root.rstrip('/')}/{collection}")
 
 
+def _with_types(found: StructType, declared: StructType) -> StructType:
+    kinds = {f.name: f for f in declared.fields}
+    return StructType([kinds.get(f.name, f) for f in found.fields])
+
+
 def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON lines; a line that does not parse gives nulls and its text in CORRUPT_COLUMN."""
     if CORRUPT_COLUMN not in schema.names:

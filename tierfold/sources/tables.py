@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,17 +50,37 @@ def scan_layer(
 
 
 def table_or_none(
-    spark: SparkSession, path: str, table_format: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    table_format: str = "parquet",
+    schema: StructType | None = None,
+    since: date | None = None,
 ) -> DataFrame | None:
-    """The table at ``path``, or None when there is none yet."""
+    """The table at ``path``, or None when there is none yet.
+
+    With ``schema`` no footer is read for the columns. ``since`` keeps partition dates from
+    that day on, so that older folders are not read; rows without a date stay out too.
+    """
     try:
-        return scan_layer(spark, path, table_format)
+        table = scan_layer(spark, path, table_format, schema)
+        return table if since is None else table.where(F.col(PARTITION_COLUMN) >= F.lit(since))
     except AnalysisException as error:
         if error.getCondition() in ABSENT:
             return None
         raise
 
 
+def has_data(spark: SparkSession, path: str, table_format: str = "parquet") -> bool:
+    """Whether a scan without a given schema finds any data file."""
+    try:
+        spark.read.format(table_format).load(path)
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return False
+        raise
+    return True
+
+
 class SchemaMismatch(TypeError):
     """Rows whose types the table they are meant for cannot take."""
 

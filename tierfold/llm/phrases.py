@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierfold.llm.common import in_batches, shuffle_partitions, written
@@ -19,33 +20,37 @@ from tierfold.llm.common import in_batches, shuffle_partitions, written
 PHRASE = 6  # words of a phrase; every window of 20 words holds one that its content selects
 BLOCK_BYTES = 8 << 20  # of text that share an automaton
 _RANDOM = np.random.default_rng(29)
-_MIX = [_RANDOM.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in "ab"]
+_BASES = [int(x) * 8 + 5 for x in _RANDOM.integers(1, 2**60, 2)]  # odd, of the full period
 _FOUND = (
     "uid long, doc_id long, n_words long, n_removed long, kept_sha256 string, packed binary,"
-    " own array<int>, places array<int>, w1 array<long>, w2 array<long>"
+    " own array<int>, places array<int>, w1 array<long>, w2 array<int>"
 )
 _FOUND_ARROW = pa.schema(
     [
         ("uid", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()),
         ("n_removed", pa.int64()), ("kept_sha256", pa.string()), ("packed", pa.binary()),
         ("own", pa.list_(pa.int32())), ("places", pa.list_(pa.int32())),
-        ("w1", pa.list_(pa.int64())), ("w2", pa.list_(pa.int64())),
+        ("w1", pa.list_(pa.int64())), ("w2", pa.list_(pa.int32())),
     ]
 )
 
 
+class _Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self) + 1
+        return n
+
+
 class Numbering:
     """Words as numbers from 1 and as hashes; each distinct word is hashed once."""
 
     def __init__(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: dict[bytes, int] = _Numbers()
         self._hashes = np.zeros(1024, np.uint64)
 
     def ids(self, words: list[bytes]) -> np.ndarray:
         known, number = len(self.number), self.number
-        out = np.fromiter(
-            (number.setdefault(w, len(number) + 1) for w in words), np.int64, len(words)
-        )
+        out = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
         if len(number) > known:
             if len(number) >= len(self._hashes):
                 self._hashes = np.concatenate(
@@ -65,13 +70,34 @@ def _last(number: dict[bytes, int], known: int) -> list[bytes]:
     return [next(backwards) for _ in range(len(number) - known)][::-1]
 
 
-def rolled(hashes: np.ndarray, width: int, mix: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of every run of ``width`` words."""
+@lru_cache(maxsize=4)
+def _powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base`` and of its inverse, modulo 2**64."""
+    both = []
+    for b in (base, pow(base, -1, 2**64)):
+        with np.errstate(over="ignore"):
+            steps = np.full(size, b, np.uint64)
+            steps[0] = 1
+            both.append(np.multiply.accumulate(steps))
+    return both[0], both[1]
+
+
+def rolled(hashes: np.ndarray, width: int, base: int) -> np.ndarray:
+    """A 64-bit hash of every run of ``width`` words: differences of one running sum.
+
+    The sum of word hashes times falling powers of ``base``, taken from one place to another
+    and multiplied back by the power of its start, depends on the words between alone.
+    """
     n = len(hashes) - width + 1
-    out = np.zeros(max(n, 0), np.uint64)
-    for j in range(width if n > 0 else 0):
-        out += hashes[j : j + n] * mix[j]
-        out ^= out >> np.uint64(29)
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(base, 1 << max(10, len(hashes).bit_length()))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * down[: len(hashes)], out=sums[1:])
+    out = (sums[width:] - sums[:n]) * up[:n]
+    out ^= out >> np.uint64(32)
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    out ^= out >> np.uint64(29)
     return out
 
 
@@ -80,7 +106,7 @@ def selected(hashes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
     The choice depends on the window's content alone, so equal windows select equal phrases.
     """
-    phrases = rolled(hashes, PHRASE, _MIX[0])
+    phrases = rolled(hashes, PHRASE, _BASES[0])
     span = width - PHRASE + 1
     if len(phrases) < span:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -167,16 +193,18 @@ class Block:
             words = expand(packed).split()
             ids = numbering.ids(words)
             copy = key in self.copies
-            held.append((doc_id, packed, words, ids, copy))
+            letters = spelled(ids)
+            held.append((doc_id, packed, words, ids, letters, copy))
             if not copy and len(recurring):
                 places, found = selected(numbering.hashes(ids), width)
                 at = np.searchsorted(recurring, _signed(found))
                 at[at == len(recurring)] = 0
                 for place in places[recurring[at] == _signed(found)].tolist():
-                    automaton.add_word(spelled(ids[place : place + PHRASE]))
+                    automaton.add_word(letters[3 * place : 3 * (place + PHRASE)])
         if len(automaton):
             automaton.make_automaton()
-        for doc_id, packed, words, ids, copy in held:
+        found = []
+        for doc_id, packed, words, ids, letters, copy in held:
             row = {"uid": next(next_uid), "doc_id": doc_id, "n_words": len(words)}
             windows = len(words) - width + 1
             if copy and windows > 0:
@@ -185,7 +213,7 @@ class Block:
             near = np.zeros(max(windows, 0), bool)
             if windows > 0 and len(automaton):
                 steps = np.zeros(windows + 1, np.int64)
-                for letter, _ in automaton.iter(spelled(ids)):
+                for letter, _ in automaton.iter(letters):
                     end = letter // 3
                     first, last = max(0, end - width + 1), min(windows - 1, end - PHRASE + 1)
                     if first <= last:
@@ -197,13 +225,38 @@ class Block:
                 continue
             at = np.flatnonzero(near)
             hashes = numbering.hashes(ids)
-            w1, w2 = (_signed(rolled(hashes, width, mix)[at]) for mix in _MIX)
-            _, firsts = np.unique(np.stack([w1, w2], 1), axis=0, return_index=True)
-            own = np.setdiff1d(np.arange(len(at)), firsts)
-            yield row | {
-                "packed": packed, "own": at[own].astype(np.int32),
-                "places": at[firsts].astype(np.int32), "w1": w1[firsts], "w2": w2[firsts],
-            }
+            w1, w2 = (_signed(rolled(hashes, width, base)[at]) for base in _BASES)
+            order = -(2**63) if doc_id is None else doc_id
+            found.append((row | {"packed": packed}, order, at, w1, (w2 >> 32).astype(np.int32)))
+        yield from _sifted(found)
+
+
+def _sifted(found: list[tuple]) -> Iterator[dict]:
+    """Rows of a block, each window once for the block: where it starts first.
+
+    A window that is in several documents of the block, or several times in one, goes from all
+    places but those of the smallest id there, whatever other blocks hold.
+    """
+    if not found:
+        return
+    sizes = [len(at) for _, _, at, _, _ in found]
+    orders = np.repeat(np.array([f[1] for f in found], np.int64), sizes)
+    owners = np.repeat(np.arange(len(found)), sizes)
+    at, w1, w2 = (np.concatenate([f[k] for f in found]) for k in (2, 3, 4))
+    rank = np.lexsort((at, owners, orders, w2, w1))
+    same = (np.diff(w1[rank]) == 0) & (np.diff(w2[rank]) == 0)
+    new = np.concatenate([[True], ~same])  # begins a window
+    least = orders[rank][np.maximum.accumulate(np.where(new, np.arange(len(rank)), 0))]
+    again = np.concatenate([[False], same & (np.diff(owners[rank]) == 0)])  # in this document
+    gone = np.zeros(len(at), bool)
+    gone[rank] = again | (orders[rank] > least)
+    ends = np.cumsum(sizes)
+    for (row, *_), a, e in zip(found, ends - sizes, ends, strict=True):
+        part, stays = gone[a:e], ~gone[a:e]
+        yield row | {
+            "own": at[a:e][part].astype(np.int32), "places": at[a:e][stays].astype(np.int32),
+            "w1": w1[a:e][stays], "w2": w2[a:e][stays],
+        }
 
 
 def _streamed(width: int):
@@ -277,12 +330,14 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
        one with the smallest id and need no search.
     2. Documents go in blocks of 8 MB of text, each with the recurring phrases selected in it.
        A block compiles an Aho-Corasick automaton over word numbers from them and streams its
-       documents through it; windows around an occurrence are candidates, hashed to 128 bits.
-    3. The smallest doc_id of every candidate window is found, partly before the shuffle, and
-       joined back, which tells what was there earlier.
+       documents through it; windows around an occurrence are candidates, hashed to 96 bits.
+    3. Of a window that is in several documents of a block only the first can stay. The one row
+       left for each block and window goes to the other blocks' rows of that window, and stays
+       if its doc_id is the smallest.
 
-    A phrase is at a block once, and a window at a document once, so neither a passage that
-    most documents share nor a large group of copies makes rows of its square.
+    A phrase and a window are at a block once, so a passage that most documents share gathers
+    one row for 8 MB of text, and neither it nor a large group of copies makes rows of its
+    square.
 
     Returns doc_id, n_words, n_removed and kept_sha256 (kept words joined by one space). Null
     and empty texts have no words. A null id comes before all others; rows that share an id are
@@ -304,15 +359,17 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     size = survey.agg(F.sum("size")).first()[0] or 0
     blocks = F.pmod(F.col("key"), F.lit(1 + size // BLOCK_BYTES)).cast("int").alias("block")
 
-    met = survey.select(blocks, F.explode("phrases").alias("value"))
-    twice = met.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-    recurring = met.join(twice, "value", "left_semi").distinct()
     order = F.coalesce("doc_id", F.lit(-(2**63)))
     firsts = survey.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.max(order).alias("last"))
-    copies = (
-        survey.join(firsts.filter("first < last"), ["h1", "h2"])
-        .filter(order > F.col("first")).select(blocks, F.col("key").alias("value")).distinct()
+    copies = written(
+        survey.select("key", "doc_id", "h1", "h2")
+        .join(firsts.filter("first < last"), ["h1", "h2"])
+        .filter(order > F.col("first")).select("key").distinct(),
+        "phrase-copies",
     )
+    met = survey.join(copies, "key", "left_anti").select(blocks, F.explode("phrases").alias("value"))
+    twice = met.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
+    recurring = met.join(twice, "value", "left_semi").distinct()
     texts = in_batches(
         keyed.select(blocks, F.col("key").alias("value"), "doc_id", "text"),
         _packed,
@@ -322,7 +379,7 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     columns = ["block", "kind", "value", "doc_id", "text"]
     dealt = (
         recurring.select("block", F.lit(0).alias("kind"), "value", *nothing)
-        .union(copies.select("block", F.lit(1), "value", *nothing))
+        .union(copies.select(blocks, F.lit(1), "key", *nothing))
         .union(texts.select("block", F.lit(2), "value", "doc_id", "text"))
         .select(*columns)
         .repartition(shuffle_partitions(spark), "block")
@@ -333,12 +390,9 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     windows = found.filter("packed is not null").select(
         "uid", order.alias("doc"), F.explode(F.arrays_zip("places", "w1", "w2")).alias("x")
     ).select("uid", "doc", "x.*")
-    earlier = (
-        windows.groupBy("w1", "w2").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .filter("first < last").select("w1", "w2", "first")
-    )
+    first = F.min("doc").over(Window.partitionBy("w1", "w2"))  # at most a row for each block
     gone = (
-        windows.join(earlier, ["w1", "w2"]).filter("doc > first")
+        windows.withColumn("first", first).filter("doc > first")
         .groupBy("uid").agg(F.collect_list("places").alias("gone"))  # at most the words of a text
     )
     searched = found.filter("packed is not null").join(gone, "uid", "left").select(

@@ -105,3 +105,23 @@ def test_timestamp_repair_does_not_depend_on_the_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert found == "2020-03-29 02:30:00.136"
+
+
+def test_sql_functions_equal_the_columns(spark):
+    from tierfold.functions import dob_to_date, int_array_to_string, timestamp_repair
+
+    register_sql_functions(spark)
+    rows = [
+        ("2020-01-02 03:04:05.123", [1, 2]), ("2020-01-02 03:04:05.120", []),
+        ("2020-01-02 03:04:05", None), ("2020-01-02 03:04:05.123456", [None, 3]), (None, [7]),
+    ]
+    df = spark.createDataFrame(rows, "t STRING, items ARRAY<BIGINT>")
+    df = df.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    pairs = {
+        "dob_to_date(t)": dob_to_date(F.col("t")),
+        "int_array_to_string(items)": int_array_to_string(F.col("items")),
+        "timestamp_repair(t)": timestamp_repair(F.col("t")),
+    }
+    for text, column in pairs.items():
+        for row in df.select(F.expr(text).alias("x"), column.alias("y")).collect():
+            assert row["x"] == row["y"], text

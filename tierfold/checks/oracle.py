@@ -162,9 +162,9 @@ ORACLE_SQL: dict[str, str] = {
     "conform_nested": f"""WITH {RAW_PATIENT} SELECT _id, city, country,
         CAST(NULL AS VARCHAR) AS "postalCode", CAST(NULL AS VARCHAR) AS state,
         CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS "useCode" FROM raw_patient""",
-    "drop_columns": """SELECT c_custkey AS _id, '_id,gender,identifier,dateCreated,active,'
-        || 'birthDate,lowerCaseName,maritalStatus,lastUpdated,isAnonymous' AS column_names
-        FROM customer""",
+    "drop_columns": f"""WITH {RAW_PATIENT} SELECT _id, '_id,gender,identifier,dateCreated,active,'
+        || 'birthDate,lowerCaseName,maritalStatus,lastUpdated,isAnonymous' AS column_names,
+        gender, lastUpdated AS "lastUpdated", anonymous AS value FROM raw_patient""",
     "filter_user_type": f"""WITH {RAW_USER} SELECT _id, "userType", "patientId"
         FROM raw_user WHERE "userType" = 'PATIENT'""",
     "filter_not_null": f"{ADDRESS} WHERE city IS NOT NULL",

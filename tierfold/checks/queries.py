@@ -183,9 +183,15 @@ def conform_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def drop_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Names of the remaining columns, beside each patient's id."""
+    """Names of the remaining columns and values of some of them, of each patient."""
     rows = columns.drop_columns(fixtures.raw_patient_with_address(spark, sf_dir))
-    return rows.select("_id", F.lit(",".join(rows.columns)).alias("column_names"))
+    return rows.select(
+        "_id",
+        F.lit(",".join(rows.columns)).alias("column_names"),
+        F.col("gender.value").alias("gender"),
+        "lastUpdated",
+        "isAnonymous.value",
+    )
 
 
 @query

@@ -24,7 +24,7 @@ from tierfold.operators.marts import (
 )
 from tierfold.operators.merge import MergeStats, merge_into
 from tierfold.sinks.files import append_json, append_partitioned, create_partitioned
-from tierfold.sinks.marts import Mart
+from tierfold.sinks.marts import FileMart, Mart
 from tierfold.sinks.retention import stale_files, vacuum_delta
 from tierfold.sources import (
     ensure_appendable,
@@ -163,9 +163,9 @@ def joined_mart_load(
 ) -> tuple[int, int]:
     """Overwrite ``<primary>_<secondary>`` and ``<primary>_aggData``.
 
-    The join is evaluated once, at full parallelism, into the shared folder. That tells
-    whether there is anything to load, and keeps the few database connections from
-    throttling the join. With an empty join neither table is touched.
+    The join is evaluated once, at full parallelism: for a file mart into a new folder that
+    takes the table's place, for a database into the shared folder, which keeps the few
+    connections from throttling the join. With an empty join neither table is touched.
     """
     left, right = (
         table_or_none(spark, config.clean_path(name), config.table_format)
@@ -174,12 +174,16 @@ def joined_mart_load(
     if left is None or right is None:
         log.warning("%s, %s: a clean table is missing", primary, secondary)
         return 0, 0
-    users = rename_secondary(right)
-    with staged(join_renamed(rename_primary(left), users), "join") as join:
-        if join.rows == 0:
-            log.warning("%s, %s: the join is empty", primary, secondary)
-            return 0, 0
-        joined_rows = mart.overwrite(join.df, f"{primary}_{secondary}")
+    users, table = rename_secondary(right), f"{primary}_{secondary}"
+    joined = join_renamed(rename_primary(left), users)
+    if isinstance(mart, FileMart):
+        joined_rows = mart.overwrite_if_any(joined, table)
+    else:
+        with staged(joined, "join") as join:
+            joined_rows = mart.overwrite(join.df, table) if join.rows else 0
+    if joined_rows == 0:
+        log.warning("%s, %s: the join is empty", primary, secondary)
+        return 0, 0
     return joined_rows, mart.overwrite(activity_counts(users), f"{primary}_aggData")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tierfold.config import LakeConfig
+from tierfold.staging import delete_tree, replace_tree
 
 
 class Mart(Protocol):
@@ -79,9 +81,22 @@ class FileMart:
         return f"{self.root.rstrip('/')}/{table}"
 
     def overwrite(self, df: DataFrame, table: str) -> int:
+        return self._written(df, self.path(table))
+
+    def overwrite_if_any(self, df: DataFrame, table: str) -> int:
+        """Same, but no rows leave the table as it is; the rows are written once."""
+        spark, new = df.sparkSession, f"{self.path(table)}-{uuid.uuid4().hex}"
+        rows = self._written(df, new)
+        if rows:
+            replace_tree(spark, new, self.path(table))
+        else:
+            delete_tree(spark, new)
+        return rows
+
+    def _written(self, df: DataFrame, path: str) -> int:
         observed = Observation()
         counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").format(self.table_format).save(self.path(table))
+        counted.write.mode("overwrite").format(self.table_format).save(path)
         return observed.get["rows"]
 
 

@@ -88,6 +88,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def replace_tree(spark: SparkSession, new: str, old: str) -> None:
+    """Put a folder in the place of another one of the same file system."""
+    source, file_system = _hadoop_path(spark, new)
+    target, _ = _hadoop_path(spark, old)
+    file_system.delete(target, True)
+    if not file_system.rename(source, target):
+        raise OSError(f"{new} could not be renamed to {old}")
+
+
 def delete_tree(spark: SparkSession, path: str) -> None:
     """Remove a file or folder on whatever file system the path names; absent is fine."""
     hadoop_path, file_system = _hadoop_path(spark, path)

@@ -68,10 +68,13 @@ def test_rewrite_prunes_to_the_touched_dates(spark, sf_dir, tmp_path):
     path = f"{tmp_path}/t"
     append_partitioned(queries.merge_target(spark, sf_dir), path)
     target = scan_layer(spark, path)
-    updates = target.where("partitionDate = DATE'2020-01-05'")
-    touched, *_ = merge._split_by_dates(target, updates, updates, "partitionDate")
-    filters = plan(touched).split("PartitionFilters: ")[1].split("PushedFilters")[0]
-    assert "2020-01-05" in filters
+    actions = target.where("partitionDate = DATE'2020-01-05'")
+    with merge._dates(actions, "partitionDate") as dates:
+        touched = merge._on_dates(target, dates, "partitionDate")
+        assert touched.count() == actions.count() > 0
+        touched.collect()
+        plan = touched._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "dynamicpruningexpression(true)" not in plan
 
 
 def test_target_keys_are_read_without_other_columns(spark, sf_dir, tmp_path):

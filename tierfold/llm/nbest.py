@@ -23,7 +23,7 @@ from tierfold.llm.lattice import (
 )
 
 FEW = 16  # units of one length below which vectors do not pay
-KNOWN_UNITS = 300_000  # segmented words a task remembers before it starts afresh
+KNOWN_UNITS = 200_000  # segmented words a task remembers before it starts afresh
 ENCODED = (
     "doc_id long, n_pieces long, score double, piece_ids array<int>,"
     " nbest array<struct<score: double, n_pieces: long,"
@@ -319,8 +319,8 @@ def encoded(docs: DataFrame, n: int = 4, vocabulary_path: str = DEFAULT_VOCABULA
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = Segmenter(vocabulary)
         for batch in batches:
-            for start in range(0, batch.num_rows, 2000):
-                yield encode_rows(batch.slice(start, 2000), segmenter)
+            for start in range(0, batch.num_rows, 1000):
+                yield encode_rows(batch.slice(start, 1000), segmenter)
 
     def encode_rows(batch: pa.RecordBatch, segmenter: Segmenter) -> pa.RecordBatch:
         columns: dict[str, list] = {k: [] for k in ("n", "score", "ids", "nbest", "same")}

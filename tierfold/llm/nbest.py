@@ -104,9 +104,6 @@ class Segmenter:
         """Slots (as int32) and score of the best segmentation, and the second's loss on it."""
         got = self.known.get(unit)
         if got is None:
-            if len(self.known) >= KNOWN_UNITS:
-                self.known.clear()
-                self.lists.clear()
             edges, scores, n = self.edges(unit), self.scores, len(unit)
             alpha, last = self.viterbi(unit, edges)
             path, at = [], n

@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+
+import corpus_pipeline
+from tierfold.llm import similar
+from tierfold.llm.similar import without_similar
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def jaccard(a, b):
+    a, b = (
+        {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+        for w in (a.lower().split(), b.lower().split())
+    )
+    return len(a & b) / len(a | b)
+
+
+def kept_by_brute_force(data, share=0.8):
+    """Smallest ids of the components of texts that share enough of their shingles."""
+    root = {i: i for i, _ in data}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(data):
+        for j, b in data[:k]:
+            if jaccard(a, b) >= share:
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {find(i) for i in root}
+
+
+def changed(words, places, mark):
+    out = list(words)
+    for k in places:
+        out[k] = f"{mark}{k}"
+    return " ".join(out)
+
+
+def planted(seed=1):
+    """Texts, copies with one word or six in 100 changed, and copies too loose to count."""
+    pick, data = random.Random(seed), []
+    for g in range(12):
+        words = [f"w{pick.randrange(5000)}" for _ in range(100 * (1 + g % 2))]
+        data.append((1000 + 10 * g, " ".join(words)))
+        data.append((1001 + 10 * g, changed(words, [40], "x")))
+        data.append((1002 + 10 * g, changed(words, range(5, 5 + 6 * (1 + g % 2)), "y")))
+        data.append((1003 + 10 * g, changed(words, range(0, len(words), 9), "z")))  # unlike
+    pick.shuffle(data)
+    return data
+
+
+def test_the_stage_removes_near_copies_and_only_them(spark, sf_dir):
+    data = planted()
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in data], SCHEMA)
+    truth = kept_by_brute_force(data)
+    assert len(truth) == 24  # of every twelve groups the first text and the unlike one
+    found = corpus_pipeline.near_dedup(spark, docs, sf_dir)
+    assert found.columns == docs.columns
+    assert {r["doc_id"] for r in found.collect()} == truth
+
+
+@pytest.mark.parametrize(("few", "block"), [(1, 7), (8, 4096)])
+def test_dense_groups_and_blocks(spark, monkeypatch, few, block):
+    """Groups whose members are alike in part only, so that many confirmations fail."""
+    monkeypatch.setattr(similar, "FEW", few)
+    monkeypatch.setattr(similar, "BLOCK", block)
+    pick, data = random.Random(4), []
+    for g in range(2):
+        words = [f"g{g}w{k}" for k in range(120)]
+        for k in range(30):
+            places = pick.sample(range(120), pick.randrange(1, 4))
+            data.append((100 * g + k, changed(words, places, f"m{k}x")))
+    truth = kept_by_brute_force(data)
+    assert 2 < len(truth) < 40
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(5)
+    assert {r["doc_id"] for r in without_similar(docs).collect()} == truth
+
+
+def test_given_texts_against_brute_force(spark, documents, rows):
+    truth = kept_by_brute_force([(r["doc_id"], r["text"]) for r in rows])
+    assert {r["doc_id"] for r in without_similar(documents).collect()} == truth
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    one = without_similar(odd_docs)
+    assert one.columns == odd_docs.columns
+    ids = sorted((r["doc_id"] is not None, r["doc_id"]) for r in one.select("doc_id").collect())
+    assert ids == [(False, None)] * 2 + [(True, k) for k in (4, 4, 7, 9, 10)]
+    assert without_similar(no_docs).count() == 0

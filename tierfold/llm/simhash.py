@@ -19,14 +19,23 @@ BITS = 64
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
     """SimHash of the word shingles of a text, A-Z in lower case; 0 for a text without words."""
+    return majority(shingle_hashes(text, shingle))
+
+
+def shingle_hashes(text: bytes, shingle: int) -> np.ndarray:
+    """Hashes of the word shingles in order; a text of fewer words is one shingle."""
     words = text.lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     runs = [words[i:] for i in range(shingle)] if len(words) >= shingle else [[b" ".join(words)]]
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(x, SEED) for x in map(b" ".join, zip(*runs, strict=False))), np.uint64
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """The bits that more than half of the hashes have, as a signed long."""
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     most = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(most, bitorder="little").view(np.int64)[0])

@@ -1,0 +1,242 @@
+"""Near copies by the similarity of their word shingles: SimHash tiles, exact confirmation."""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tierfold.llm.common import in_batches, keeps_columns, written
+from tierfold.llm.components import connected_components
+from tierfold.llm.simhash import majority, shingle_hashes
+
+SHINGLE = 5
+SIMILARITY = 0.8
+#: Of 128 bits. Sets of similarity 0.8 differ in 19 on average with a deviation of 4, others in 64.
+RADIUS = 32
+#: Of the first 64 bits, where sets of similarity 0.8 differ in 10 with a deviation of 3.
+HALF_RADIUS = 20
+CLASSES = 4  # classes of set size between a size and ``similarity`` times it
+BLOCK = 4096
+FEW = 8  # pairs of a node in two blocks that are all confirmed at once
+CELLS = 1 << 21  # compared in one step of numpy
+_MARK, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
+
+
+def shingle_set(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
+    """Sorted distinct hashes of the word shingles of a text, A-Z in lower case."""
+    return np.unique(shingle_hashes(text, shingle))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Shared part of two sets of shingles (Jaccard); 1 for two empty ones."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def _second(hashes: np.ndarray) -> np.ndarray:
+    """Other 64 bits of every hash."""
+    mixed = (hashes ^ (hashes >> np.uint64(31))) * _MIX + _MARK
+    mixed = (mixed ^ (mixed >> np.uint64(29))) * _MARK
+    return mixed ^ (mixed >> np.uint64(32))
+
+
+def _digest(shingles: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes())).view(np.int64))
+
+
+def with_shingle_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id and key of every row; node (hash of its set of shingles), fp, more and size."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = []
+        for text in batch.column("text"):
+            own = shingle_set(text.as_py() or b"", shingle)
+            found.append((_digest(own), majority(own), majority(_second(own)), len(own)))
+        columns = [pa.array(x, pa.int64()) for x in zip(*found, strict=True)]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("key"), *columns],
+            ["doc_id", "key", "node", "fp", "more", "size"],
+        )
+
+    schema = "doc_id long, key long, node long, fp long, more long, size long"
+    return in_batches(docs.select("doc_id", "key", F.col("text").cast("binary")), over, schema)
+
+
+def _near(left: dict, right: dict, share: float, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all pairs of two blocks that may reach the similarity, each pair once."""
+    rows = max(1, CELLS // max(1, len(right["fp"])))
+    found_i, found_j = [], []
+    for at in range(0, len(left["fp"]), rows):
+        cross = left["fp"][at : at + rows, None] ^ right["fp"][None, :]
+        i, j = np.nonzero(np.bitwise_count(cross) <= HALF_RADIUS)
+        i += at
+        bits = np.bitwise_count(left["fp"][i] ^ right["fp"][j]).astype(np.int64)
+        bits += np.bitwise_count(left["more"][i] ^ right["more"][j])
+        a, b = left["size"][i], right["size"][j]
+        near = (bits <= RADIUS) & (np.minimum(a, b) >= share * np.maximum(a, b) - 1e-9)
+        near &= (i < j) if same else True
+        near &= left["label"][i] != right["label"][j]
+        found_i.append(i[near])
+        found_j.append(j[near])
+    return np.concatenate(found_i), np.concatenate(found_j)
+
+
+def _firsts(node: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Which pairs hold the smallest partner of their node."""
+    order = np.lexsort((other, node))
+    first = np.ones(len(order), bool)
+    first[1:] = node[order][1:] != node[order][:-1]
+    return order[first]
+
+
+def _chosen(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of which one end has few, and the smallest partner of each other end.
+
+    What is left out lies between two ends of many pairs; these are marked by pairs of one end.
+    """
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    many = np.bincount(place) > FEW
+    crowd = many[place[: len(a)]] & many[place[len(a) :]]
+    take = ~crowd
+    take[_firsts(a, b)] = True
+    take[_firsts(b, a)] = True
+    own = np.unique(np.concatenate([a[crowd], b[crowd]]))
+    return np.concatenate([a[take], own]), np.concatenate([b[take], own])
+
+
+def candidate_pairs(nodes: DataFrame, share: float, every: bool) -> DataFrame:
+    """Pairs (a, b) of ``nodes`` (node, fp, more, size, label) of different label that may be alike.
+
+    Sets whose sizes differ by more than ``share`` cannot reach it, so nodes fall into tiles by
+    the logarithm of their size, and a tile meets itself and the ``CLASSES`` above it. Tiles are
+    cut into blocks; every two blocks that meet are a unit of work and compared in full. Unless
+    ``every`` pair is asked for, a dense group gives pairs in proportion to its members, and
+    the members as pairs with themselves.
+    """
+    width = -math.log(share) / CLASSES * (1 + 1e-9)  # a quotient of exactly ``share`` counts
+    tile = F.floor(F.log(F.greatest("size", F.lit(1))) / width).cast("long")
+    tiled = nodes.withColumn("tile", tile)
+    sizes = tiled.groupBy("tile").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    fields = ("node", "fp", "more", "size", "label")
+    cut = (
+        tiled.join(sizes, "tile")
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        .groupBy("tile", "block")
+        .agg(F.collect_list(F.struct(*fields)).alias("rows"))
+        .select("tile", "block", *(F.col(f"rows.{x}").alias(x) for x in fields))
+    )
+    cut = written(cut, "similar-blocks")
+    meets = F.explode(F.sequence(F.col("tile"), F.col("tile") + CLASSES)).alias("tile")
+    left = (
+        cut.select(
+            F.col("tile").alias("home"), F.col("block").alias("home_block"),
+            *(F.col(x).alias(f"left_{x}") for x in fields), meets,
+        )
+        .join(sizes, "tile")
+        .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .filter("home <> tile or home_block <= block")
+    )
+    pairs = left.join(cut, ["tile", "block"]).withColumn(
+        "same", (F.col("home") == F.col("tile")) & (F.col("home_block") == F.col("block"))
+    )
+
+    def side(batch: pa.RecordBatch, row: int, prefix: str) -> dict:
+        out = {}
+        for name in fields:
+            values = batch.column(prefix + name)[row].values.to_numpy(zero_copy_only=False)
+            out[name] = values.view(np.uint64) if name in ("fp", "more") else values
+        return out
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [(np.zeros(0, np.int64),) * 2]
+        for row in range(batch.num_rows):
+            one, two = side(batch, row, "left_"), side(batch, row, "")
+            i, j = _near(one, two, share, batch.column("same")[row].as_py())
+            a, b = one["node"][i], two["node"][j]
+            found.append((a, b) if every or not len(a) else _chosen(a, b))
+        a, b = (np.concatenate(x) for x in zip(*found, strict=True))
+        return pa.RecordBatch.from_pydict({"a": pa.array(a), "b": pa.array(b)})
+
+    pairs = pairs.select("same", *(f"left_{x}" for x in fields), *fields)
+    return in_batches(pairs, over, "a long, b long").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    ).distinct()
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, share: float, shingle: int) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts (node, text) share at least ``share`` of their shingles."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        keep = [
+            similarity(shingle_set(a.as_py(), shingle), shingle_set(b.as_py(), shingle)) >= share
+            for a, b in zip(batch.column("left"), batch.column("right"), strict=True)
+        ]
+        return batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    both = (
+        pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("left")), "a")
+        .join(texts.select(F.col("node").alias("b"), F.col("text").alias("right")), "b")
+        .select("a", "b", "left", "right")
+    )
+    return in_batches(both, over, "a long, b long")
+
+
+def _labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """node and label (smallest node of its component) of every node."""
+    roots = connected_components(links).withColumnRenamed("component", "label")
+    return nodes.select("node").join(roots, "node", "left").select(
+        "node", F.coalesce("label", "node").alias("label")
+    )
+
+
+@keeps_columns
+def without_similar(
+    docs: DataFrame, share: float = SIMILARITY, shingle: int = SHINGLE
+) -> DataFrame:
+    """One row of every group of ``docs`` that is linked by similar texts: of the smallest doc_id.
+
+    Two texts are linked if they share at least ``share`` of their distinct word shingles (of
+    both together) and their SimHashes of 128 bits are within ``RADIUS``, which all but about
+    one in a thousand pairs of similarity 0.8 are, and more of those above. Every pair
+    within the radius is confirmed on the texts, but those already linked through others.
+    Texts of equal sets are one node, so a group of copies costs one comparison; texts without
+    words are alike. Members of a dense group are first linked to their smallest partners, and
+    then only what is still apart is compared in full.
+
+    Among rows of the smallest id one is taken by a hash of the whole row; of rows equal in
+    every column one stays. Columns and their order stay.
+    """
+    keyed = docs.withColumn("__key", F.xxhash64(*docs.columns))
+    rows = keyed.select("doc_id", F.col("__key").alias("key"), "text")
+    marked = written(with_shingle_sets(rows, shingle), "similar-rows")
+    nodes = written(
+        marked.groupBy("node").agg(
+            *(F.first(x).alias(x) for x in ("fp", "more", "size")),
+            F.min(F.struct("doc_id", "key")).alias("first"),
+        ).withColumn("label", F.col("node")),
+        "similar-nodes",
+    )
+
+    def confirm(found: DataFrame) -> DataFrame:
+        ends = found.select(F.col("a").alias("node")).union(found.select("b")).distinct()
+        chosen = nodes.join(ends, "node").select("node", F.col("first.key").alias("__key"))
+        texts = chosen.join(keyed.select("__key", F.col("text").cast("binary")), "__key")
+        texts = written(texts.dropDuplicates(["node"]).select("node", "text"), "similar-texts")
+        return written(confirmed(found, texts, share, shingle), "similar-links")
+
+    pairs = written(candidate_pairs(nodes, share, every=False), "similar-pairs")
+    links = confirm(pairs.filter("a <> b"))
+    labels = written(_labels(nodes, links), "similar-labels")
+    crowd = nodes.drop("label").join(pairs.filter("a = b").select(F.col("a").alias("node")), "node")
+    apart = written(candidate_pairs(crowd.join(labels, "node"), share, every=True), "similar-pairs")
+    tested = apart.join(pairs, ["a", "b"], "left_anti")
+    labels = _labels(nodes, links.union(confirm(written(tested, "similar-pairs"))))
+    firsts = nodes.select("node", "first").join(labels, "node")
+    kept = firsts.groupBy("label").agg(F.min("first").alias("first"))
+    kept = written(kept.select(F.col("first.key").alias("__key")).distinct(), "similar-kept")
+    return keyed.join(kept, "__key").dropDuplicates(["__key"]).select(*docs.columns)

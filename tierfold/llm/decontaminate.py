@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches, keeps_columns
+from tierfold.llm.common import in_batches, keeps_columns, written
 
 QGRAM = 8
 EDIT_SHARE = 0.08  # of an item's characters may differ
@@ -210,24 +210,38 @@ def contaminated_passages(
     items the budget is lowered until the bound is at least one; items of fewer than ``q``
     characters name nothing and are not searched for.
 
-    Items go in blocks of about a million characters, one pass over the documents for each, so
-    what a task holds is bounded however large the benchmark. Documents are not shuffled.
+    Different items go in blocks of about a million characters, one pass over the documents for
+    each, so what a task holds is bounded however large the benchmark or often an item repeats;
+    repeats are joined to the matches. Documents are not shuffled.
 
     Returns doc_id, item_id, start, end (code points of the text as given), edits, edit_budget
     and shared_qgrams, one row for each passage and item. Null and empty texts or items match
     nothing; repeated rows and items give rows of their own; empty tables give none. Other
     columns are not looked at.
     """
-    size = benchmark.agg(F.sum(F.length("text"))).first()[0] or 0
+    items = _items(benchmark)
+    found = _matches_of_items(docs, items, share, q).withColumnRenamed("item_id", "key")
+    repeated = items.select("key", "item_id", F.explode(F.expr("sequence(1L, times)")).alias("time"))
+    return found.join(repeated, "key").select(*(x.split()[0] for x in MATCHES.split(", ")))
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """key, item_id, text and ``times`` of the different rows of ``benchmark``."""
+    rows = benchmark.filter("text is not null").groupBy("item_id", "text")
+    counted = rows.agg(F.count(F.lit(1)).alias("times"))
+    return written(counted.withColumn("key", F.xxhash64("item_id", "text")), "benchmark-items")
+
+
+def _matches_of_items(docs: DataFrame, items: DataFrame, share: float, q: int) -> DataFrame:
+    """``MATCHES`` once for each different item, whose key stands as ``item_id``."""
+    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = 1 + size // BLOCK_CHARS
     rows = docs.select("doc_id", "text")
     found = None
     for k in range(count):
         # at most about BLOCK_CHARS characters, and one long item
-        block = benchmark.filter("text is not null").filter(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k
-        )
-        index = Index([tuple(r) for r in block.select("item_id", "text").collect()], q, share)
+        block = items.filter(F.pmod("key", F.lit(count)) == k)
+        index = Index([tuple(r) for r in block.select("key", "text").collect()], q, share)
         part = in_batches(rows, lambda b, index=index: _matches(b, index), MATCHES)
         found = part if found is None else found.union(part)
     return found
@@ -257,13 +271,15 @@ def _matches(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
 
 
 @keeps_columns
-def without_contaminated(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
+def without_contaminated(
+    docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, q: int = QGRAM
+) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item was found; columns stay as they are.
 
     Decided by text, so rows that repeat an id are judged one by one.
     """
     keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    leaks = contaminated_passages(keyed, benchmark, **parameters).select(
+    leaks = _matches_of_items(keyed, _items(benchmark), share, q).select(
         F.col("doc_id").alias("__leak")
     )
     return docs.join(leaks.distinct(), F.xxhash64(docs["text"]) == F.col("__leak"), "left_anti")

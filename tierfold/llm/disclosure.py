@@ -155,8 +155,10 @@ def disclosing_terms(
     Over all rows: df(e), df(t) rows with the entity or the term, c(e, t) rows with the term
     near the entity. The share given away is PMI(e, t) over the entity's own information,
     log(n c / (df(e) df(t))) / log(n / df(e)); 1 if the term occurs near that entity alone. A
-    pair must be seen in ``min_texts`` different texts: one text, however often it is copied,
-    makes no evidence. Every count is summed partly before its shuffle.
+    pair must be seen in ``min_texts`` different texts, or its term must also stand in another
+    text than the pair: an entity of a single text takes part with the terms that the rest of
+    the corpus supports, its share falling as they become common. A term of one text, however
+    often that is copied, makes no evidence. Every count is summed partly before its shuffle.
     """
     near = found.select("__row", "__content", F.explode("__near").alias("x")).select(
         "__row", "__content", "x.entity", F.explode("x.words.term").alias("term")
@@ -166,7 +168,6 @@ def disclosing_terms(
         .groupBy("entity", "term", "__content").agg(F.count(F.lit(1)).alias("n"))
         .groupBy("entity", "term")
         .agg(F.sum("n").alias("c"), F.count(F.lit(1)).alias("texts"))
-        .filter(F.col("texts") >= min_texts)
     )
     entities = (
         found.select(F.explode(F.array_distinct("__spans.entity")).alias("entity"))
@@ -174,15 +175,20 @@ def disclosing_terms(
     )
     words = F.split(ascii_lower(F.col("text")), SPACE)
     terms = (
-        docs.select(F.explode(F.array_distinct(words)).alias("term"))
-        .groupBy("term").agg(F.count(F.lit(1)).alias("of_term"))
+        docs.select(
+            F.explode(F.array_distinct(words)).alias("term"), F.xxhash64("text").alias("content")
+        )
+        .groupBy("term").agg(
+            F.count(F.lit(1)).alias("of_term"),
+            (F.min("content") < F.max("content")).alias("elsewhere"),
+        )
     )
     n = docs.count()
     known = F.log(n / F.col("of_entity"))
     pmi = F.log(F.col("c") * n / (F.col("of_entity") * F.col("of_term")))
     return (
         pairs.join(entities, "entity").join(terms, "term")
-        .filter(known > 0)
+        .filter((known > 0) & ((F.col("texts") >= min_texts) | F.col("elsewhere")))
         .withColumn("share", pmi / known)
         .filter(F.col("share") >= threshold)
         .select("entity", "term", "share")

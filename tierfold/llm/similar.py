@@ -202,7 +202,8 @@ def without_similar(
 
     Two texts are linked if they share at least ``share`` of their distinct word shingles (of
     both together) and their SimHashes of 128 bits are within ``RADIUS``, which all but about
-    one in a thousand pairs of similarity 0.8 are, and more of those above. Every pair
+    one in a thousand pairs of similarity 0.8 are by a binomial estimate (recall on the given
+    tables is not measured), and more of those above. Every pair
     within the radius is confirmed on the texts, but those already linked through others.
     Texts of equal sets are one node, so a group of copies costs one comparison; texts without
     words are alike. Members of a dense group are first linked to their smallest partners, and

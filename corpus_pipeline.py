@@ -16,7 +16,7 @@ from tierfold.llm.decontaminate import without_contaminated
 from tierfold.llm.disclosure import sanitised
 from tierfold.llm.line_frequency import apply_line_rules
 from tierfold.llm.nbest import encoded
-from tierfold.llm.similar import without_similar
+from tierfold.llm.simhash import deduplicated
 
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -29,8 +29,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every group of near copies stays (similarity 0.8 of 5-word shingles)."""
-    return without_similar(docs)
+    """One document of every SimHash group stays: three-word shingles, at most two bits apart."""
+    return deduplicated(docs, radius=2, shingle=3)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import os
 import re
 import zlib
 from collections import Counter
@@ -13,6 +14,8 @@ from tierfold.llm.lattice import load_vocabulary, log_likelihoods
 from tierfold.llm.likelihood import lattice_scores, trained_model
 from tierfold.llm.nbest import Segmenter, changed, decoded, encoded, units_of
 
+TESTDATA = os.environ.get("TESTDATA_DIR", "/root/testdata")
+
 
 @pytest.fixture(scope="module")
 def vocabulary():
@@ -157,3 +160,55 @@ def test_encoding_odd_rows(odd_docs, no_docs):
 
 def test_no_piece_reaches_across_units(vocabulary):
     assert all(re.fullmatch(rb" *[^ \n]*", p) for p in vocabulary.pieces)
+
+
+@pytest.mark.parametrize("text", ["rrrrñ", "aaaaaaa rrrrñ", "......", "    a\n\n\nhahaha"])
+def test_equal_segmentations_are_listed_once(vocabulary, text):
+    """Of units with ties too the n ways are different, and their sums the n largest."""
+    segmenter, parts, n = Segmenter(vocabulary), units_of(text.encode()), 6
+    segmenter.learn(set(parts))
+    slots, score, ranked = segmenter.text_nbest(parts, n)
+    base = slots.tolist()
+    ways = [
+        changed(base, [{"at": a, "was": w, "ids": list(new)} for a, w, new in edits])
+        for _, edits in ranked
+    ]
+    assert len({tuple(w) for w in ways}) == len(ways) and ways[0] == base
+    every = [
+        [
+            (sum(segmenter.scores[k] for k in p), p)
+            for p in all_segmentations(u, vocabulary.slots, segmenter.first_byte, False)
+        ]
+        or [(segmenter.scores[segmenter.first_byte + b], (segmenter.first_byte + b,)) for b in u]
+        if "ñ" not in u.decode()
+        else _with_bytes(segmenter, u)
+        for u in parts
+    ]
+    sums = [0.0]
+    for found in every:
+        sums = sorted((a + s for a in sums for s, _ in found), reverse=True)[: 50 * n]
+    assert np.allclose([s for s, _ in ranked], sums[:n])
+    assert len(ranked) == min(n, math.prod(map(len, every)))
+
+
+def _with_bytes(segmenter, unit):
+    """All segmentations over ``edges``, which go by bytes where a character has no piece."""
+    edges, out = segmenter.edges(unit), []
+
+    def go(at, score, path):
+        if at == len(unit):
+            out.append((score, path))
+        for s, e, slot in edges:
+            if s == at:
+                go(e, score + segmenter.scores[slot], (*path, slot))
+
+    go(0, 0.0, ())
+    return out
+
+
+def test_ways_of_every_text_are_distinct(spark):
+    """At sf0.01, where units with equally good segmentations occur."""
+    docs = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet")
+    for r in encoded(docs, 4).collect():
+        ways = [changed(r["piece_ids"], [c.asDict() for c in b["changes"]]) for b in r["nbest"]]
+        assert len({tuple(w) for w in ways}) == len(ways)

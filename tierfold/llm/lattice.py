@@ -48,6 +48,12 @@ class Vocabulary:
         used[found >> np.uint64(44)] = True
         return found[order], order, used
 
+    @cached_property
+    def spelling(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all slots in a row, and where each slot's begin and how many they are."""
+        every = [*self.pieces, *(bytes((b,)) for b in range(256))]
+        sizes = np.fromiter(map(len, every), np.int64, len(every))
+        return np.frombuffer(b"".join(every), np.uint8), np.cumsum(sizes) - sizes, sizes
 
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Which of the hashes are pieces', and the slots of those."""

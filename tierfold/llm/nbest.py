@@ -126,12 +126,14 @@ class Segmenter:
         return got
 
     def learn(self, units: set[bytes]) -> None:
-        """``best`` for many units at once, those of one length as vectors."""
+        """``best`` for many units at once, those of one length as vectors.
+
+        Beyond ``KNOWN_UNITS`` all that these units do not need is forgotten.
+        """
         fresh = [u for u in units if u not in self.known]
         if len(self.known) + len(fresh) > KNOWN_UNITS:
-            self.known.clear()
+            self.known = {u: self.known[u] for u in units if u in self.known}
             self.lists.clear()
-            fresh = list(units)
         by_length: dict[int, list[bytes]] = {}
         for unit in fresh:
             by_length.setdefault(len(unit), []).append(unit)
@@ -143,8 +145,18 @@ class Segmenter:
             for k in range(0, len(group), 20_000):
                 part = group[k : k + 20_000]
                 letters = np.frombuffer(b"".join(part), np.uint8).reshape(len(part), length)
-                for unit, found in zip(part, self._best_of(letters), strict=True):
-                    self.known[unit] = self._entry(unit, *found)
+                self.known.update(zip(part, self._best_of(letters), strict=True))
+
+    def _check(self, letters: np.ndarray, slots: np.ndarray) -> None:
+        """The pieces of ``slots``, row after row, must spell the bytes of ``letters``."""
+        spelling, starts, sizes = self.vocabulary.spelling
+        long = sizes[slots]
+        ends = np.cumsum(long)
+        if len(slots) == 0 or ends[-1] != letters.size:
+            raise AssertionError("pieces of other lengths than their units")
+        at = np.arange(letters.size) + np.repeat(starts[slots] - (ends - long), long)
+        if (spelling[at] != letters.ravel()).any():
+            raise AssertionError("pieces that do not give their units back")
 
     def _best_of(self, letters: np.ndarray) -> Iterator[tuple[bytes, float, float]]:
         """``best`` of a matrix of units of one length, a row each."""
@@ -199,12 +211,13 @@ class Segmenter:
             through = alpha[s, rows] + scores[slots] + beta[e, rows]
             other[rows] = np.maximum(other[rows], through)
         loss = np.maximum(0.0, alpha[length] - other)
-        slots = np.stack(path[::-1], 1).astype(np.int32)  # filled from the right
-        blank = (slots < 0).sum(axis=1).tolist()
-        for row, k, score, worse in zip(
-            slots, blank, alpha[length].tolist(), loss.tolist(), strict=True
-        ):
-            yield row[k:].tobytes(), score, worse
+        steps = np.stack(path[::-1], 1)  # filled from the right
+        flat = steps[steps >= 0].astype(np.int32)
+        self._check(letters, flat)
+        ends = np.cumsum(4 * (steps >= 0).sum(axis=1)).tolist()
+        packed = flat.tobytes()
+        slots = [packed[a:e] for a, e in zip([0, *ends], ends, strict=False)]
+        return zip(slots, alpha[length].tolist(), loss.tolist(), strict=True)
 
     def nbest(self, unit: bytes, n: int) -> list[tuple[float, tuple[int, ...]]]:
         """Up to ``n`` best (score, slots) of a unit, best first.
@@ -252,7 +265,9 @@ class Segmenter:
 
         Of units only the ``n - 1`` whose second segmentations lose least can differ from their
         best ones in any of the ``n`` best texts: with another unit changed there are already
-        ``n`` texts that are as good. Their lists are merged, so the result is exact.
+        ``n`` texts that are as good. Their lists are merged, so the result is exact. A list
+        begins with the best segmentation of the unit that is in use, so that where several are
+        equally good it is not taken for a change.
         Each of the ``n`` is (score, changes), a change being (place in slots, number of slots
         replaced, slots instead).
         """
@@ -267,12 +282,14 @@ class Segmenter:
         for k in sorted(near.tolist()):
             if loss[k] == math.inf:
                 continue
-            ways = self.nbest(units[k], n)
-            top = ways[0][0]
-            more = [
-                (lost + max(0.0, top - s), (*changed, (k, way)) if j else changed)
+            used = tuple(np.frombuffer(entries[k][0], np.int32).tolist())
+            top = entries[k][1]
+            others = [(s, way) for s, way in self.nbest(units[k], n) if way != used][: n - 1]
+            more = [*ranked]
+            more += [
+                (lost + max(0.0, top - s), (*changed, (k, way)))
                 for lost, changed in ranked
-                for j, (s, way) in enumerate(ways)
+                for s, way in others
             ]
             ranked = heapq.nsmallest(n, more, key=lambda x: x[0])
         sizes = [len(e[0]) // 4 for e in entries] if len(ranked) > 1 else []

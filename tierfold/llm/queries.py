@@ -13,6 +13,7 @@ from tierfold.llm.decontaminate import contaminated_passages
 from tierfold.llm.disclosure import personal_data
 from tierfold.llm.likelihood import lattice_scores
 from tierfold.llm.line_frequency import line_verdicts
+from tierfold.llm.merkle import manifest
 from tierfold.llm.nbest import encoded
 from tierfold.llm.phrases import without_repeats
 from tierfold.llm.quotes import reply_ordered
@@ -75,6 +76,15 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), 20)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    one_more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    return manifest(table(spark, sf_dir, "documents"), columns, seventh, one_more).proofs.select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotation_links": op1_quotation_links,
     "op2_lattice_likelihood": op2_lattice_likelihood,
@@ -86,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_disclosure": op8_disclosure,
     "op9_nbest_pieces": op9_nbest_pieces,
     "op10_repeated_phrases": op10_repeated_phrases,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -19,6 +19,7 @@ from tierfold.llm.phrases import without_repeats
 from tierfold.llm.quotes import reply_ordered
 from tierfold.llm.shards import byte_shards
 from tierfold.llm.simhash import fingerprint_hex, near_duplicates
+from tierfold.llm.tokens import token_counts
 
 
 def op1_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +77,10 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), 20)
 
 
+def op12_array_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), limit=1024)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "source", "lang", "n_chars", "text"]
     seventh = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_disclosure": op8_disclosure,
     "op9_nbest_pieces": op9_nbest_pieces,
     "op10_repeated_phrases": op10_repeated_phrases,
+    "op12_array_merging": op12_array_merging,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.llm.archive import archived_pages, base32_of_hex
+from tierfold.llm.collocations import collocations
 from tierfold.llm.common import table
 from tierfold.llm.decontaminate import contaminated_passages
 from tierfold.llm.disclosure import personal_data
@@ -77,6 +78,10 @@ def op10_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_repeats(table(spark, sf_dir, "documents"), 20)
 
 
+def op11_word_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 def op12_array_merging(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), limit=1024)
 
@@ -101,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_disclosure": op8_disclosure,
     "op9_nbest_pieces": op9_nbest_pieces,
     "op10_repeated_phrases": op10_repeated_phrases,
+    "op11_word_graph": op11_word_graph,
     "op12_array_merging": op12_array_merging,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tierfold.llm.common import written
 
 LONGEST = 5  # words of a phrase at most; edges have as many, nodes one less
-CHUNK_BYTES = 16 << 20  # of text that shares the numbers of its words
+CHUNK_BYTES = 4 << 20  # of text that shares the numbers of its words
 NO_LANG = "und"
 _BUCKET_BITS = 1 << 15  # of Spark's bitmap aggregates
 _RANK_PARTS = 64  # in which phrases of a language are ranked before the whole language is
@@ -305,7 +305,7 @@ def phrase_graph(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Totals (lang, n), compacted paths (lang, words, c) and shorter ends (lang, gram, c).
 
-    1. Texts become numbers of words in chunks of 16 MB, written once with their words.
+    1. Texts become numbers of words in chunks of 4 MB, written once with their words.
     2. Words, then pairs of such words, met less than ``least`` times are found by hash; what
        is passed to the tasks is a bitmap of ``2 ** log2_bits`` bits, whatever the corpus. No
        phrase that is met ``least`` times crosses such a word or pair, so pieces end there too;

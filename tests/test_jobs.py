@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from datetime import date
 from pathlib import Path
 
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 import tierfold.__main__ as cli
 from tierfold.checks import fixtures
 from tierfold.config import LakeConfig
+from tierfold.operators import merge
 from tierfold.operators.merge import DuplicateSourceKeys
 from tierfold.plans import jobs
 from tierfold.sinks import FileMart
@@ -24,11 +27,7 @@ def lake(tmp_path):
 
 def put(spark, config, name, documents):
     """Documents of the next ingest: earlier ones are kept under their own folder."""
-    source = LakeConfig(
-        root=config.root,
-        source_root=f"{config.source_root}/{documents.semanticHash()}",
-        source_format="parquet",
-    )
+    source = replace(config, source_root=f"{config.source_root}/{documents.semanticHash()}")
     documents.write.parquet(f"{source.source_root}/{name}")
     return source
 
@@ -134,11 +133,19 @@ def test_empty_join_leaves_the_marts_alone(spark, lake, patients, users):
 def test_retention_reports_nothing_for_a_whole_table(spark, lake, patients):
     config, _ = lake
     jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
-    config = LakeConfig(root=config.root, retention_hours=0)
+    config = replace(config, retention_hours=0, mart_root=f"{config.root}/mart")
     assert jobs.retention(spark, config, "patient") is None
     jobs.raw_ingest(spark, put(spark, config, "user", patients), "user")
-    found = jobs.retention(spark, config, "patient", f"{config.root}/raw.user").count()
-    assert found == len(list(Path(config.root, "raw.user").rglob("*.parquet")))
+    jobs.clean_load(spark, config, "patient")
+    jobs.mart_load(spark, config, FileMart(config.mart_root), "patient")
+    assert jobs.retention(spark, config, "patient", config.root).isEmpty()
+    patients.write.parquet(f"{config.root}/old/raw.user")
+    found = {r["path"] for r in jobs.retention(spark, config, "patient", config.root).collect()}
+    assert len(found) == len(list(Path(config.root, "old").rglob("*.parquet")))
+    assert jobs.remove_stale(spark, config, config.root) == len(found)
+    assert not Path(config.root, "old").exists()
+    assert jobs.remove_stale(spark, config, config.root) == 0
+    assert scan_layer(spark, config.raw_path("user")).count() == patients.count()
 
 
 def test_a_failed_first_clean_load_can_be_run_again(spark, lake, patients):
@@ -177,13 +184,28 @@ def test_errors_are_raised(spark, lake):
         jobs.raw_ingest(spark, config, "patient")
 
 
-def test_command_line(spark, lake, patients, monkeypatch, capsys):
+def test_command_line(spark, sf_dir, lake, patients, monkeypatch, capsys):
     config, _ = lake
     source = put(spark, config, "patient", patients)
-    source = LakeConfig(**{**source.__dict__, "mart_root": f"{config.root}/mart"})
+    source = replace(source, mart_root=f"{config.root}/mart")
     monkeypatch.setattr(LakeConfig, "from_session", classmethod(lambda cls, s: source))
     assert cli.main(["processMongoRawData", "patient"]) == patients.count()
-    assert cli.main(["cleanMongoRawData", "patient"]).inserted == patients.count()
+    clean = ["cleanMongoRawData", "patient", "--incremental"]
+    assert cli.main([*clean, "--since", "2020-02-01"]).inserted < patients.count()
+    assert cli.main(clean).dropped == 0
+    assert cli.main(clean) is None
+    assert cli.main(["processMongoRawData", "patient"]) == patients.count()
+    assert cli.main([*clean, "--latest"]).updated == patients.count()
+    rows = cli.main(["processData", "--objects", f"{source.source_root}/patient", "--show"])
+    assert rows.count() == patients.count()
+    json = f"{config.root}/json"
+    with_address = fixtures.raw_patient_with_address(spark, sf_dir)
+    addressed = put(spark, config, "patient", with_address)
+    monkeypatch.setattr(LakeConfig, "from_session", classmethod(lambda cls, s: addressed))
+    assert cli.main(["processData", "--json", json]) == patients.count()
+    assert spark.read.json(json).select("address1").count() == patients.count()
+    assert cli.main(["processData"]) == patients.count()
+    monkeypatch.setattr(LakeConfig, "from_session", classmethod(lambda cls, s: source))
     assert cli.main(["loadDiscreteDataInMysql", "patient"]) == patients.count()
     assert cli.main(["cleanFile", "--show"]) is None
     with pytest.raises(SystemExit):
@@ -217,3 +239,127 @@ def test_config_from_session():
     assert config.source_options == {"database": "d"}
     assert config.jdbc_properties == {"user": "u"}
     assert (config.retention_hours, config.write_partitions) == (0.1, 400)
+
+
+def test_a_mart_load_after_a_broken_commit_is_whole(spark, lake, patients, monkeypatch):
+    """The reader finishes the merge that a crash left half in place."""
+    config, mart = lake
+    changed = F.struct(F.concat("gender.value", F.lit("*")).alias("value"))
+    first = put(spark, config, "patient", patients.withColumn("gender", changed))
+    jobs.raw_ingest(spark, first, "patient")
+    jobs.clean_load(spark, config, "patient", incremental=True)
+    jobs.raw_ingest(spark, put(spark, config, "patient", patients), "patient")
+    move, moved = merge.move_tree, []
+
+    def third_move_breaks(spark, source, target):
+        moved.append(target)
+        if len(moved) == 3:
+            raise OSError("gone")
+        move(spark, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(merge, "move_tree", third_move_breaks)
+        with pytest.raises(OSError, match="gone"):
+            jobs.clean_load(spark, config, "patient", incremental=True)
+    assert jobs.mart_load(spark, config, mart, "patient") == patients.count()
+    table = spark.read.parquet(mart.path("patient"))
+    assert table.where("gender LIKE '%*'").isEmpty()
+    assert table.select("mongoId").distinct().count() == patients.count()
+    assert jobs.clean_load(spark, config, "patient", incremental=True) is None
+
+
+def test_late_documents_are_cleaned_incrementally(spark, lake, patients):
+    """``since`` misses documents that arrive under an old date; the ingest mark does not."""
+    config, _ = lake
+    late, early = patients.where("_id % 4 = 0"), patients.where("_id % 4 <> 0")
+    jobs.raw_ingest(spark, put(spark, config, "patient", early), "patient")
+    jobs.clean_load(spark, config, "patient", incremental=True)
+    old = late.withColumn("lastUpdated", F.lit("2001-01-01").cast("timestamp_ntz"))
+    jobs.raw_ingest(spark, put(spark, config, "patient", old), "patient")
+    assert jobs.clean_load(spark, config, "patient", since=date(2020, 1, 1)).inserted == 0
+    assert jobs.clean_load(spark, config, "patient", incremental=True).inserted == late.count()
+    assert jobs.clean_load(spark, config, "patient", incremental=True) is None
+    plan = jobs._raw_rows(spark, config, "patient", batches=(1, 2))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(ingestBatch,1)" in text and "LessThanOrEqual(ingestBatch,2)" in text
+
+
+def jobs_run(spark, call):
+    """What ``call`` gives, and the number of jobs Spark ran for it."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "counted")
+    try:
+        found = call()
+        return found, len(context.statusTracker().getJobIdsForGroup(group))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_an_append_reads_no_footers(spark, lake, patients):
+    """The columns are noted beside the table, so nothing runs before the rows are written."""
+    config, _ = lake
+    patients = patients.where("_id % 90 < 3")  # few dates, which are listed without a job
+    source = put(spark, config, "patient", patients)
+    jobs.raw_ingest(spark, source, "patient")
+    path = config.raw_path("patient")
+    layout, ran = jobs_run(spark, lambda: jobs._layout_of(spark, config, path))
+    assert ran == 0 and layout.batch == 1
+    wanted = {(f.name, f.dataType.simpleString()) for f in scan_layer(spark, path).schema}
+    assert {(f.name, f.dataType.simpleString()) for f in layout.schema} == wanted
+    grown = patients.withColumn("extra", F.lit(1))
+    jobs.raw_ingest(spark, put(spark, config, "patient", grown), "patient")
+    raw, ran = jobs_run(spark, lambda: jobs._raw_rows(spark, config, "patient"))
+    assert ran == 0 and "extra" in raw.columns
+    assert raw.where("ingestBatch = 2 AND extra = 1").count() == patients.count()
+    assert raw.where("ingestBatch = 1 AND extra IS NULL").count() == patients.count()
+    # without the note the footers tell the same
+    Path(path, "_layout").unlink()
+    assert jobs._layout_of(spark, config, path).batch == 2
+    assert jobs.raw_ingest(spark, source, "patient") == patients.count()
+    assert scan_layer(spark, path).agg(F.max("ingestBatch")).first()[0] == 3
+
+
+def json_lake(config, lines, name="first"):
+    folder = Path(config.root, name, "patient")
+    folder.mkdir(parents=True)
+    (folder / "a.json").write_text("\n".join(lines))
+    return replace(config, source_format="json", source_root=str(folder.parent))
+
+
+def test_broken_documents_are_kept_apart(spark, lake):
+    config, _ = lake
+    good = ['{"_id":1,"lastUpdated":"2020-01-01T00:00:00","a":1}', '{"_id":2,"a":2}']
+    source = json_lake(config, [*good, '{"_id":3,"a":', "no JSON at all"])
+    assert jobs.raw_ingest(spark, source, "patient") == 2
+    assert scan_layer(spark, config.raw_path("patient")).where("_id IS NULL").isEmpty()
+    kept = spark.read.parquet(config.quarantine_path("patient"))
+    assert {r["document"] for r in kept.collect()} == {'{"_id":3,"a":', "no JSON at all"}
+    assert {r["ingestBatch"] for r in kept.collect()} == {1}
+    assert all(r["file"].endswith("a.json") for r in kept.collect())
+    # a value that does not fit the table's type, though it parses
+    later = json_lake(config, [*good, '{"_id":4,"lastUpdated":"yesterday"}'], "second")
+    assert jobs.raw_ingest(spark, later, "patient") == 2
+    assert kept.where("document LIKE '%yesterday%'").count() == 0
+    kept = spark.read.parquet(config.quarantine_path("patient"))
+    assert kept.where("document LIKE '%yesterday%' AND ingestBatch = 2").count() == 1
+    # nothing but broken documents: no rows, and all of them kept
+    only = json_lake(config, ["{", "}"], "third")
+    schema = scan_layer(spark, config.raw_path("patient")).drop("ingestBatch").schema
+    assert jobs.raw_ingest(spark, only, "patient", schema) == 0
+    assert spark.read.parquet(config.quarantine_path("patient")).count() == 5
+
+
+def test_types_json_cannot_tell_follow_the_table(spark, lake):
+    config, _ = lake
+    first = ['{"_id":1,"lastUpdated":"2020-01-01T00:00:00","s":{"v":"x"},"d":1.5,"t":"1","l":[{"k":1}]}']
+    later = ['{"_id":2,"lastUpdated":null,"s":null,"d":2,"t":7,"l":[]}', '{"_id":3,"s":{"v":null}}']
+    assert jobs.raw_ingest(spark, json_lake(config, first), "patient") == 1
+    assert jobs.raw_ingest(spark, json_lake(config, later, "second"), "patient") == 2
+    raw = scan_layer(spark, config.raw_path("patient"))
+    assert raw.schema["s"].dataType.simpleString() == "struct<v:string>"
+    found = {r["_id"]: r for r in raw.collect()}
+    assert (found[2]["d"], found[2]["t"], found[2]["s"]) == (2.0, "7", None)
+    other = ['{"_id":4,"s":"text","lastUpdated":"2020-01-01T00:00:00"}']
+    with pytest.raises(SchemaMismatch, match="s is struct"):
+        jobs.raw_ingest(spark, json_lake(config, other, "third"), "patient")
+    assert scan_layer(spark, config.raw_path("patient")).count() == 3

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import shutil
 from datetime import date, timedelta
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tierfold.operators import merge
 from tierfold.sinks import create_partitioned
-from tierfold.sources import scan_layer
+from tierfold.sources import OpenMerge, scan_layer
 
 SCHEMA = "mongoId BIGINT, v STRING, partitionDate DATE"
 D1, D2, D3 = date(2020, 1, 1), date(2020, 1, 2), date(2020, 1, 3)
@@ -191,37 +193,95 @@ class Broken(RuntimeError):
     pass
 
 
-@pytest.mark.parametrize("phase", ["before the note", "before the commit", "after half of it"])
-def test_a_failed_merge_can_be_run_again(spark, tmp_path, monkeypatch, phase):
-    """Repeated new keys, null keys and kept rows come out once, whatever failed."""
-    target = [*TARGET, (9, "kept", D1), (8, "kept", D2)]
-    source = [(1, "A", D1), (7, "x", D2), (7, "y", D2), (None, "N", D1), (5, "new", D3)]
-    path = written(spark, tmp_path, target)
-    real = merge.overwrite_partitions
+FAILED_TARGET = [*TARGET, (9, "kept", D1), (8, "kept", D2)]
+FAILED_SOURCE = [(1, "A", D1), (7, "x", D2), (7, "y", D2), (None, "N", D1), (5, "new", D3)]
+
+
+def stages_of(path):
+    return [n for n in os.listdir(path) if n.startswith(merge.STAGE)]
 
-    def half(rows, *args):
-        real(rows.where(F.col("partitionDate") == F.lit(D1)), *args)
+
+def interrupted(spark, path, monkeypatch, phase):
+    """Run the merge into a written table until it breaks in the given phase."""
+    move, moved = merge.move_tree, []
+
+    def broken_move(spark, source, target):
+        if phase == "after the first date" and not moved:
+            moved.append(target)
+            return move(spark, source, target)
         raise Broken
 
     def never(*args):
         raise Broken
 
     with monkeypatch.context() as patched:
-        if phase == "before the note":
+        if phase == "while staging":
+            patched.setattr(merge, "_begin_commit", never)
+        elif phase == "before the note":
             patched.setattr(merge, "_updated", never)
         else:
-            patched.setattr(merge, "overwrite_partitions", half if "half" in phase else never)
+            patched.setattr(merge, "move_tree", broken_move)
         with pytest.raises(Broken):
-            merge.merge_into(spark, path, frame(spark, source))
-    if phase == "before the note":
-        assert rows_of(scan_layer(spark, path)) == sorted(target, key=repr)
-        merge.merge_into(spark, path, frame(spark, source))
+            merge.merge_into(spark, path, frame(spark, FAILED_SOURCE), mark=4)
+
+
+@pytest.mark.parametrize(
+    "phase", ["before the note", "while staging", "before the first date", "after the first date"]
+)
+def test_a_failed_merge_can_be_run_again(spark, tmp_path, monkeypatch, phase):
+    """Repeated new keys, null keys and kept rows come out once, whatever failed."""
+    path = written(spark, tmp_path, FAILED_TARGET)
+    interrupted(spark, path, monkeypatch, phase)
+    if phase in ("before the note", "while staging"):
+        assert stages_of(path) == []
+        assert rows_of(scan_layer(spark, path)) == sorted(FAILED_TARGET, key=repr)
+        assert merge.merged_up_to(spark, path) is None
+        merge.merge_into(spark, path, frame(spark, FAILED_SOURCE), mark=4)
     else:
+        with pytest.raises(OpenMerge):
+            scan_layer(spark, path)
         assert merge.finish_merge(spark, path)
-    assert rows_of(scan_layer(spark, path)) == brute_force(target, source)
+    assert rows_of(scan_layer(spark, path)) == brute_force(FAILED_TARGET, FAILED_SOURCE)
+    assert merge.merged_up_to(spark, path) == 4
+    assert stages_of(path) == []
     assert not merge.finish_merge(spark, path)
 
 
+def test_the_next_merge_finishes_the_interrupted_one(spark, tmp_path, monkeypatch):
+    path = written(spark, tmp_path, FAILED_TARGET)
+    interrupted(spark, path, monkeypatch, "after the first date")
+    second = [(2, "later", D2), (12, "more", D1)]
+    merge.merge_into(spark, path, frame(spark, second))
+    first = brute_force(FAILED_TARGET, FAILED_SOURCE)
+    assert rows_of(scan_layer(spark, path)) == brute_force(first, second)
+
+
+@pytest.mark.parametrize("phase", ["before the first date", "after the first date"])
+def test_a_lost_stage_is_an_error_and_the_table_stays_shut(spark, tmp_path, monkeypatch, phase):
+    path = written(spark, tmp_path, FAILED_TARGET)
+    interrupted(spark, path, monkeypatch, phase)
+    for name in stages_of(path):
+        shutil.rmtree(os.path.join(path, name))
+    for _ in range(2):
+        with pytest.raises(merge.LostStage):
+            merge.finish_merge(spark, path)
+        with pytest.raises(OpenMerge):
+            scan_layer(spark, path)
+
+
+def test_every_row_is_written_once(spark, tmp_path):
+    """What the merge writes are its actions, the dates, and each row of the dates concerned."""
+    path = written(spark, tmp_path, FAILED_TARGET)
+    merge.stage_merge(spark, path, frame(spark, FAILED_SOURCE))
+    (stage,) = stages_of(path)
+    staged_rows = spark.read.parquet(os.path.join(path, stage))
+    assert rows_of(staged_rows) == brute_force(FAILED_TARGET, FAILED_SOURCE)
+    files = {r[0] for r in staged_rows.select("_metadata.file_name").distinct().collect()}
+    assert merge.finish_merge(spark, path)
+    after = scan_layer(spark, path).select("_metadata.file_name").distinct().collect()
+    assert {r[0] for r in after} == files
+
+
 def test_target_is_pruned_by_the_dates(spark, tmp_path):
     from tierfold.session import settings_during
 

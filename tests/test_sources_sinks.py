@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 from datetime import date, datetime
 
 import pytest
@@ -23,6 +24,7 @@ from tierfold.sinks import (
 )
 from tierfold.sinks.marts import RowsMissing
 from tierfold.config import LakeConfig
+from tierfold.sinks.retention import stale_trees
 from tierfold.sources import (
     CORRUPT_COLUMN,
     scan_by_date_range,
@@ -209,6 +211,71 @@ def test_file_mart_overwrites(spark, tmp_path):
     assert spark.read.parquet(mart.path("t")).count() == 3
 
 
+class Gone(RuntimeError):
+    pass
+
+
+def test_a_failed_overwrite_leaves_the_table_readable(spark, tmp_path, monkeypatch):
+    mart = FileMart(str(tmp_path))
+    mart.overwrite(spark.range(5), "t")
+    failing = spark.range(3).select(F.raise_error(F.lit("no")).alias("id"))
+    for overwrite in (mart.overwrite, mart.overwrite_if_any):
+        with pytest.raises(Exception, match="no"):
+            overwrite(failing, "t")
+    assert spark.read.parquet(mart.path("t")).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    assert mart.overwrite_if_any(spark.range(0), "t") == 0
+    assert spark.read.parquet(mart.path("t")).count() == 5
+
+    move = staging.move_tree
+
+    def second_move_breaks(spark, source, target):
+        if "_new." in source:
+            raise Gone
+        move(spark, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(staging, "move_tree", second_move_breaks)
+        with pytest.raises(Gone):
+            mart.overwrite(spark.range(2), "t")
+    assert spark.read.parquet(mart.path("t")).count() == 5
+    # the process ends between the two moves
+    move(spark, mart.path("t"), staging.backup_of(mart.path("t")))
+    assert mart.recover(spark, "t") and not mart.recover(spark, "t")
+    assert spark.read.parquet(mart.path("t")).count() == 5
+    move(spark, mart.path("t"), staging.backup_of(mart.path("t")))
+    assert mart.overwrite(spark.range(2), "t") == 2
+    assert spark.read.parquet(mart.path("t")).count() == 2
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_notes_are_read_back(spark, tmp_path):
+    path = f"{tmp_path}/folder/_note"
+    assert staging.read_note(spark, path) is None
+    for note in ({"a": [1, "é"]}, 7, {}):
+        staging.write_note(spark, path, note)
+        assert staging.read_note(spark, path) == note
+    assert staging.children(spark, f"{tmp_path}/folder") == ["_note"]
+    assert staging.children(spark, f"{tmp_path}/none") == []
+
+
+def test_only_whole_stale_folders_go_at_once(spark, tmp_path):
+    """Files beside live or young ones go one by one; a live folder without files stays."""
+    root = f"{tmp_path}/lake"
+    for place in ("old/a", "old/b", "mixed/live", "mixed/stale", "kept"):
+        spark.range(3).coalesce(1).write.parquet(f"{root}/{place}")
+    os.makedirs(f"{root}/old/b/empty table")
+    live = [f"{root}/kept", f"{root}/mixed/live", f"{root}/old/b/empty table"]
+    report = stale_files(spark, root, live, older_than_hours=0)
+    trees = {r["path"].split("/lake/")[1] for r in stale_trees(report, root, live).collect()}
+    whole = {t for t in trees if not t.endswith(".parquet")}
+    assert whole == {"old/a", "mixed/stale"}
+    assert [t.startswith("old/b/part-") for t in trees - whole] == [True]
+    assert delete_stale(report, root, live) == 3
+    assert sorted(os.listdir(f"{root}/mixed")) == ["live"]
+    assert sorted(os.listdir(f"{root}/old")) == ["b"] and os.path.isdir(live[2])
+
+
 def test_jdbc_mart_refuses_nested_columns(spark, sf_dir):
     with pytest.raises(TypeError, match="identifier"):
         JdbcMart("jdbc:none:x").overwrite(fixtures.raw_patient(spark, sf_dir), "patient")

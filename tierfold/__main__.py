@@ -7,9 +7,10 @@ spark-submit takes from ``--conf`` or ``--properties-file``.
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from tierfold.config import LakeConfig
-from tierfold.plans.jobs import ACTIONS, preview
+from tierfold.plans.jobs import ACTIONS, Options, preview
 from tierfold.session import build_session
 from tierfold.sinks.marts import mart_from_config
 
@@ -18,6 +19,16 @@ def main(argv: list[str] | None = None) -> object:
     parser = argparse.ArgumentParser(prog="tierfold")
     parser.add_argument("action", choices=sorted(ACTIONS))
     parser.add_argument("collections", nargs="*")
+    parser.add_argument("--since", type=date.fromisoformat, help="first partition date to clean")
+    parser.add_argument("--latest", action="store_true", help="clean the newest row of a document")
+    parser.add_argument(
+        "--incremental", action="store_true", help="clean the ingests not cleaned yet"
+    )
+    parser.add_argument("--json", metavar="PATH", help="write documents as JSON to this folder")
+    parser.add_argument(
+        "--objects", nargs="+", default=(), metavar="URI", help="read Parquet documents there"
+    )
+    parser.add_argument("--delete", action="store_true", help="delete the files of the report")
     parser.add_argument("--show", action="store_true", help="print a resulting report")
     args = parser.parse_args(argv)
     wanted, job = ACTIONS[args.action]
@@ -25,7 +36,12 @@ def main(argv: list[str] | None = None) -> object:
         parser.error(f"{args.action} takes {wanted} collection name(s)")
     spark = build_session()
     config = LakeConfig.from_session(spark)
-    result = job(spark, config, lambda: mart_from_config(config), *args.collections[:wanted])
+    options = Options(
+        args.since, args.latest, args.incremental, args.json, tuple(args.objects), args.delete
+    )
+    result = job(
+        spark, config, lambda: mart_from_config(config), options, *args.collections[:wanted]
+    )
     if args.show and hasattr(result, "printSchema"):
         preview(result)
     return result

@@ -197,7 +197,18 @@ ORACLE_SQL: dict[str, str] = {
         maritalStatus AS "maritalStatus" FROM raw_patient""",
     "job_raw_ingest": FLAT_DATED,
     "job_raw_ingest_json": FLAT_DATED,
+    "job_raw_ingest_quarantine": f"""WITH {RAW_PATIENT}
+        SELECT CASE WHEN _id % 5 <> 0 THEN _id END AS _id,
+               CASE WHEN _id % 5 <> 0 THEN gender END AS gender,
+               CASE WHEN _id % 5 = 0 THEN '{{"_id":' || _id || ',"gender":' END AS document
+        FROM raw_patient""",
+    "job_raw_ingest_drift": f"""SELECT _id, CASE WHEN _id % 2 = 0 THEN gender END AS gender,
+        name, identifiers, "lastUpdated", "partitionDate",
+        CASE WHEN _id % 2 = 1 THEN _id % 3 END AS ward, 1 + _id % 2 AS "ingestBatch"
+        FROM ({FLAT_DATED})""",
     "job_clean_patient": PATIENT_ROWS,
+    "job_clean_incremental": PATIENT_ROWS,
+    "job_retention_deletes": PATIENT_ROWS,
     "job_clean_since": f"""WITH {CLEAN_PATIENT} SELECT * FROM clean_patient
         WHERE CAST("lastUpdated" AS DATE) >= DATE '2020-02-01'""",
     "job_retention": f"""WITH {RAW_PATIENT}

@@ -296,15 +296,14 @@ def merge_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def merge_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The upsert again, stopped on purpose once its new contents are noted, then finished."""
+    """The upsert again, interrupted once its new contents are noted: refused, then finished."""
     path = shared_folder(spark, "clean.patient")
     sinks.create_partitioned(merge_target(spark, sf_dir), path)
+    merge.stage_merge(spark, path, merge_source(spark, sf_dir))
     try:
-        # Spark takes no partitioning into minus one part, so the commit fails
-        merge.merge_into(spark, path, merge_source(spark, sf_dir), partitions=-1)
-    except Exception:
-        if not merge.finish_merge(spark, path):
-            raise
+        sources.scan_layer(spark, path)
+    except sources.OpenMerge:
+        merge.finish_merge(spark, path)
     return sources.scan_layer(spark, path)
 
 
@@ -447,6 +446,66 @@ def job_raw_ingest_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_patient_dated(sources.scan_layer(spark, config.raw_path("patient")))
 
 
+def _patient_json(spark: SparkSession, documents: DataFrame, root: str, name: str) -> LakeConfig:
+    """A lake at ``root`` whose next documents are JSON lines in which nulls are written."""
+    config = LakeConfig(root=root, source_root=f"{root}/{name}")
+    lines = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    documents.select(lines.alias("value")).write.text(f"{config.source_root}/patient")
+    return config
+
+
+@query
+def job_raw_ingest_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth line is cut short: raw rows of the others, and the text of these."""
+    root = shared_folder(spark, "lake")
+    config = LakeConfig(root=root, source_root=f"{root}/source")
+    patients = fixtures.raw_patient(spark, sf_dir)
+    line = F.to_json(F.struct("*"))
+    cut = F.concat(F.lit('{"_id":'), F.col("_id"), F.lit(',"gender":'))
+    lines = patients.select(F.when(F.col("_id") % 5 == 0, cut).otherwise(line).alias("value"))
+    lines.write.text(f"{config.source_root}/patient")
+    jobs.raw_ingest(spark, config, "patient", patients.schema)
+    raw = sources.scan_layer(spark, config.raw_path("patient"))
+    broken = spark.read.parquet(config.quarantine_path("patient"))
+    rows = raw.select("_id", F.col("gender.value").alias("gender"), F.lit(None).alias("document"))
+    return rows.union(broken.select(F.lit(None), F.lit(None), "document"))
+
+
+@query
+def job_raw_ingest_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch of JSON has no gender in any document, and a field more."""
+    patients = fixtures.raw_patient(spark, sf_dir)
+    root = shared_folder(spark, "lake")
+    even, odd = patients.where("_id % 2 = 0"), patients.where("_id % 2 = 1")
+    odd = odd.withColumn("gender", F.lit(None).cast("string")).withColumn("ward", F.col("_id") % 3)
+    for name, documents in (("first", even), ("second", odd)):
+        jobs.raw_ingest(spark, _patient_json(spark, documents, root, name), "patient")
+    raw = sources.scan_layer(spark, f"{root}/raw.patient")
+    flat = _flat_patient_dated(raw.drop("ward"))
+    return flat.join(raw.select("_id", "ward", "ingestBatch"), "_id")
+
+
+@query
+def job_clean_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingests cleaned one by one; the later ones bring documents of older dates and changes."""
+    root = shared_folder(spark, "lake")
+    patients = fixtures.raw_patient(spark, sf_dir)
+    changed = F.struct(F.concat("gender.value", F.lit("*")).alias("value"))
+    rounds = (
+        patients.where("_id % 3 = 0").withColumn("gender", changed),
+        patients.where("_id % 3 <> 2 AND dateCreated < '2020-02-01'"),
+        patients.where("_id % 3 <> 2 AND dateCreated >= '2020-02-01'"),
+        patients.where("_id % 3 = 2"),
+    )
+    for k, documents in enumerate(rounds):
+        config = LakeConfig(root=root, source_root=f"{root}/{k}", source_format="parquet")
+        documents.write.parquet(f"{config.source_root}/patient")
+        jobs.raw_ingest(spark, config, "patient")
+        if k != 1:  # two ingests are cleaned in one go
+            jobs.clean_load(spark, config, "patient", incremental=True)
+    return sources.scan_layer(spark, config.clean_path("patient"))
+
+
 @query
 def job_clean_patient(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two ingests: even ids, then all with another gender, so the second run updates and adds."""
@@ -477,16 +536,31 @@ def job_clean_since(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def job_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Dates of the files of a superseded copy beside the raw table."""
-    config, _ = _lake(spark, sf_dir, "patient")
+    """Dates in the paths of all files below the lake that no table of it needs."""
+    config, mart = _lake(spark, sf_dir, "patient", "user")
+    config = replace(config, retention_hours=0, mart_root=mart.root)
+    jobs.clean_load(spark, config, "patient")
+    jobs.mart_load(spark, config, mart, "patient")
     raw = sources.scan_layer(spark, config.raw_path("patient"))
     sinks.create_partitioned(raw, f"{config.root}/backup/raw.patient")
-    config = replace(config, retention_hours=0)
-    jobs.raw_ingest(spark, config, "patient")  # the live table goes on
+    jobs.raw_ingest(spark, config, "patient")  # the live tables go on
     report = jobs.retention(spark, config, "patient", config.root)
-    day = F.regexp_extract("path", r"/backup/raw\.patient/partitionDate=([0-9-]+)/", 1)
-    found = report.select(day.alias("day")).where("day <> ''")
-    return found.select(F.col("day").cast("date").alias("partitionDate")).distinct()
+    day = F.regexp_extract("path", r"/partitionDate=([0-9-]+)/", 1)
+    return report.select(day.cast("date").alias("partitionDate")).distinct()
+
+
+@query
+def job_retention_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart after all that is stale below the lake, and nothing else, has been deleted."""
+    config, mart = _lake(spark, sf_dir, "patient")
+    config = replace(config, retention_hours=0, mart_root=mart.root)
+    jobs.clean_load(spark, config, "patient")
+    sinks.create_partitioned(clean_patient(spark, sf_dir), f"{config.root}/old/clean.patient")
+    jobs.remove_stale(spark, config, config.root)
+    jobs.mart_load(spark, config, mart, "patient")
+    if sources.has_data(spark, f"{config.root}/old/clean.patient"):
+        return spark.read.parquet(f"{config.root}/old/clean.patient").limit(0)
+    return spark.read.parquet(mart.path("patient"))
 
 
 @query

@@ -41,6 +41,10 @@ class LakeConfig:
     def clean_path(self, collection: str) -> str:
         return f"{self.root.rstrip('/')}/{self.clean_prefix}{collection}"
 
+    def quarantine_path(self, collection: str) -> str:
+        """Where documents that could not be read go, with their text."""
+        return f"{self.root.rstrip('/')}/quarantine.{collection}"
+
     @classmethod
     def from_session(cls, spark: SparkSession) -> LakeConfig:
         """Read ``spark.tierfold.*``, as given to spark-submit or a properties file.

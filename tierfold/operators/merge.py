@@ -22,15 +22,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierfold.session import settings_during
-from tierfold.sinks.files import overwrite_partitions
-from tierfold.sources.tables import scan_layer
-from tierfold.staging import delete_tree, path_exists, shared_folder, staged
+from tierfold.sinks.files import create_partitioned
+from tierfold.sources.tables import PENDING, scan_layer
+from tierfold.staging import (
+    children,
+    delete_tree,
+    move_tree,
+    path_exists,
+    read_note,
+    staged,
+    write_note,
+)
 
 log = logging.getLogger(__name__)
 
-# Names, in the table's folder, the staged rows of a merge whose commit has begun. Readers
-# skip names that start with an underscore.
-PENDING = "_pending_merge"
+# Names in the table's folder, which readers skip as they start with an underscore: the new
+# contents of dates, and the mark of the last merge.
+STAGE = "_merge-"
+MARK = "_merged_up_to"
 
 ACTION = "_merge_action"
 UPDATE, INSERT = "update", "insert"
@@ -40,6 +49,10 @@ class DuplicateSourceKeys(ValueError):
     """Several source rows match the same target key."""
 
 
+class LostStage(RuntimeError):
+    """Staged contents of a merge are gone before they were put in place."""
+
+
 @dataclass(frozen=True)
 class MergeStats:
     source_rows: int
@@ -139,34 +152,52 @@ def merge_into(
     table_format: str = "parquet",
     target: DataFrame | None = None,
     partitions: int | None = None,
+    mark: int | None = None,
 ) -> MergeStats | None:
     """Upsert into the table at ``path``, which is partitioned by ``guard``.
 
     ``target`` is a scan of that table if the caller has one; ``partitions`` is passed to
-    the writer (for the fewest files at least the number of dates).
+    the writer (for the fewest files at least the number of dates); ``mark`` is kept with the
+    table once the merge is in place (see ``merged_up_to``).
 
     Delta tables use Delta's own MERGE (no statistics). Other tables, in the same way at
     every size:
 
     1. finish an earlier merge whose commit was interrupted;
-    2. count the source keys and refuse ambiguous ones;
-    3. join the source to the target's (key, guard) pairs, and stage the rows to update
-       and to insert;
-    4. stage the new contents of every date that is updated or inserted into; dates are a
-       small dataset of their own, so that Spark prunes the target by them;
-    5. note the staged contents beside the table and put them in place, in one dynamic
-       partition overwrite; then drop the note and the stage.
-
-    A failure before 5 leaves the table as it was, and the merge can simply be run again. A
-    failure inside 5 leaves the stage, which holds every row of the dates concerned; the
-    next merge into the table, or ``finish_merge``, puts it in place first. Readers may see
-    some dates before others meanwhile, and there must be one writer at a time.
+    2. ``stage_merge``: count the source keys and refuse ambiguous ones, join the source to the
+       target's (key, guard) pairs, and write the new contents of every date that is updated
+       or inserted into, once, beside the table; dates are a small dataset of their own, so
+       that Spark prunes the target by them;
+    3. note the dates, which begins the commit;
+    4. ``finish_merge``: put the folder of each date in the place of the old one.
+
+    A failure before 3 leaves the table as it was and no stage behind, and the merge can
+    simply be run again. From 3 on the table is not read until 4 has been finished, which any
+    later run does first. There must be one writer at a time.
     """
     if table_format == "delta":
         _merge_delta(spark, path, source, key, guard)
         return None
+    if finish_merge(spark, path):
+        target = None
+    stats = stage_merge(spark, path, source, key, guard, table_format, target, partitions, mark)
+    finish_merge(spark, path)
+    return stats
 
-    if finish_merge(spark, path, guard, table_format, partitions) or target is None:
+
+def stage_merge(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    key: str = "mongoId",
+    guard: str = "partitionDate",
+    table_format: str = "parquet",
+    target: DataFrame | None = None,
+    partitions: int | None = None,
+    mark: int | None = None,
+) -> MergeStats:
+    """Write the new contents of all dates concerned and note them; nothing is replaced yet."""
+    if target is None:
         target = scan_layer(spark, path, table_format)
     source = _with_types_of(target, source)
     source_rows = check_source(target, source, key)
@@ -186,46 +217,68 @@ def merge_into(
         if stats.updated or stats.inserted:
             updates = stage.df.where(F.col(ACTION) == UPDATE).drop(ACTION)
             inserts = stage.df.where(F.col(ACTION) == INSERT).drop(ACTION)
-            contents = shared_folder(spark, "merge-contents")
-            with _dates(stage.df, guard) as dates:
-                rewritten = _updated(_on_dates(target, dates, guard), updates, key, guard)
-                rewritten.unionByName(inserts, allowMissingColumns=True).write.parquet(contents)
-            note = spark.createDataFrame([(contents,)], "value string").coalesce(1)
-            note.write.mode("overwrite").text(f"{path}/{PENDING}")
-            finish_merge(spark, path, guard, table_format, partitions)
+            contents = f"{path}/{STAGE}{uuid.uuid4().hex}"
+            try:
+                with _dates(stage.df, guard) as dates:
+                    rewritten = _updated(_on_dates(target, dates, guard), updates, key, guard)
+                    create_partitioned(
+                        rewritten.unionByName(inserts, allowMissingColumns=True),
+                        contents, table_format, guard, partitions,
+                    )
+                _begin_commit(spark, path, contents, guard, mark)
+            except BaseException:
+                if read_note(spark, f"{path}/{PENDING}") is None:
+                    delete_tree(spark, contents)
+                raise
+        elif mark is not None:
+            write_note(spark, f"{path}/{MARK}", mark)
     if stats.dropped:
         log.warning("%s: %d source rows dropped, their %s differs", path, stats.dropped, guard)
     return stats
 
 
-def finish_merge(
-    spark: SparkSession,
-    path: str,
-    guard: str = "partitionDate",
-    table_format: str = "parquet",
-    partitions: int | None = None,
-) -> bool:
-    """Put the staged contents of a begun merge in place; whether there was one.
-
-    Can be repeated until it succeeds: the stage is deleted last.
+def _begin_commit(
+    spark: SparkSession, path: str, contents: str, guard: str, mark: int | None
+) -> None:
+    """Note the staged dates, each with one of its files by which it is known again."""
+    dates = {}
+    for name in children(spark, contents):
+        if name.startswith(f"{guard}="):
+            files = children(spark, f"{contents}/{name}")
+            dates[name] = next(f for f in files if not f.startswith(("_", ".")))
+    write_note(spark, f"{path}/{PENDING}", {"stage": contents, "dates": dates, "mark": mark})
+
+
+def finish_merge(spark: SparkSession, path: str) -> bool:
+    """Put the staged dates of a begun merge in place; whether there was one.
+
+    Each date's folder is renamed into the place of the old one. A date is done once the table
+    holds the file noted for it, so this can be repeated until it succeeds, from whichever
+    date it was interrupted at. If a date is neither staged nor in place its rows are lost:
+    ``LostStage`` is raised and the note stays, so that the table is not taken for whole.
     """
-    note = f"{path}/{PENDING}"
-    if not path_exists(spark, f"{note}/_SUCCESS"):
+    note = read_note(spark, f"{path}/{PENDING}")
+    if note is None:
         return False
-    contents = spark.read.text(note).first()[0]
-    if path_exists(spark, contents):
-        try:
-            overwrite_partitions(
-                spark.read.parquet(contents), path, table_format, guard, partitions
-            )
-        except Exception as error:
-            error.add_note(f"the new contents of {path} are in {contents}; run the merge again")
-            raise
-    delete_tree(spark, note)
+    contents = note["stage"]
+    for name, file in note["dates"].items():
+        if path_exists(spark, f"{contents}/{name}/{file}"):
+            delete_tree(spark, f"{path}/{name}")
+            move_tree(spark, f"{contents}/{name}", f"{path}/{name}")
+        elif not path_exists(spark, f"{path}/{name}/{file}"):
+            raise LostStage(f"{path}: the new contents of {name} are not in {contents} any more")
+    if note["mark"] is not None:
+        write_note(spark, f"{path}/{MARK}", note["mark"])
+    delete_tree(spark, f"{path}/{PENDING}")
     delete_tree(spark, contents)
     return True
 
 
+def merged_up_to(spark: SparkSession, path: str) -> int | None:
+    """The ``mark`` of the last merge into the table, if it was given one."""
+    return read_note(spark, f"{path}/{MARK}")
+
+
 @contextmanager
 def _dates(actions: DataFrame, guard: str) -> Iterator[DataFrame]:
     """The distinct dates, as a dataset of their own that is read by an equality filter.

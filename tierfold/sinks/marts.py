@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tierfold.config import LakeConfig
-from tierfold.staging import delete_tree, replace_tree
+from tierfold.staging import delete_tree, recover_tree, replace_tree
 
 
 class Mart(Protocol):
@@ -72,7 +72,12 @@ class JdbcMart:
 
 @dataclass(frozen=True)
 class FileMart:
-    """Mart tables as folders of files, for engines that read them in place."""
+    """Mart tables as folders of files, for engines that read them in place.
+
+    A table is written beside its place and then takes it, the former one being kept until
+    that is done. A failed write leaves the table as it was; what an interrupted change of
+    place had moved away is brought back by the next one, or by ``recover``.
+    """
 
     root: str
     table_format: str = "parquet"
@@ -81,23 +86,29 @@ class FileMart:
         return f"{self.root.rstrip('/')}/{table}"
 
     def overwrite(self, df: DataFrame, table: str) -> int:
-        return self._written(df, self.path(table))
+        return self._replaced(df, table, even_if_empty=True)
 
     def overwrite_if_any(self, df: DataFrame, table: str) -> int:
         """Same, but no rows leave the table as it is; the rows are written once."""
-        spark, new = df.sparkSession, f"{self.path(table)}-{uuid.uuid4().hex}"
-        rows = self._written(df, new)
-        if rows:
-            replace_tree(spark, new, self.path(table))
-        else:
-            delete_tree(spark, new)
-        return rows
+        return self._replaced(df, table, even_if_empty=False)
 
-    def _written(self, df: DataFrame, path: str) -> int:
+    def recover(self, spark: SparkSession, table: str) -> bool:
+        """Bring the table back if a change of place was interrupted; whether it was missing."""
+        return recover_tree(spark, self.path(table))
+
+    def _replaced(self, df: DataFrame, table: str, even_if_empty: bool) -> int:
+        # the underscore keeps readers of the whole folder away from it
+        spark, new = df.sparkSession, f"{self.root.rstrip('/')}/_new.{table}.{uuid.uuid4().hex}"
         observed = Observation()
         counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-        counted.write.mode("overwrite").format(self.table_format).save(path)
-        return observed.get["rows"]
+        try:
+            counted.write.format(self.table_format).save(new)
+            rows = observed.get["rows"]
+            if rows or even_if_empty:
+                replace_tree(spark, new, self.path(table))
+        finally:
+            delete_tree(spark, new)
+        return rows
 
 
 def mart_from_config(config: LakeConfig) -> Mart:

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tierfold.sources.tables import reconciled, with_fields
+
 # Parse mode, corrupt-record column and date patterns of the sources.
 PARSE_MODE = "PERMISSIVE"
 CORRUPT_COLUMN = "_corrupt_record"
@@ -32,18 +34,31 @@ def scan_collection(
     root: str | None = None,
     schema: StructType | None = None,
     options: dict[str, str] | None = None,
+    known: StructType | None = None,
 ) -> DataFrame:
     """All documents of a collection.
 
     File formats read ``root/collection``; any other format is taken as a connector that
     understands a ``collection`` option. Pass ``schema`` for large JSON collections:
     inferring it costs one more full read. Where it is inferred from JSON, the types of
-    ``DOCUMENT_TYPES`` replace what was found for those fields.
+    ``DOCUMENT_TYPES`` replace what was found for those fields. With ``known``, the columns of
+    a table the documents are meant for, fields that are absent or always null have its types,
+    and so have others where JSON cannot tell (``reconciled``).
+
+    A JSON line that does not parse, or does not fit the types, keeps its text in
+    ``CORRUPT_COLUMN``, which JSON documents always have.
     """
     if schema is None and source_format == "json" and root is not None:
         path = f"{root.rstrip('/')}/{collection}"
-        found = spark.read.options(**(options or {})).json(path).schema
+        infer = spark.read.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+        if known is not None:
+            infer = infer.option("dropFieldIfAllNull", True)
+        found = infer.options(**(options or {})).json(path).schema
         schema = _with_types(found, StructType.fromDDL(DOCUMENT_TYPES.get(collection, "")))
+        if known is not None:
+            schema = with_fields(reconciled(known, schema), known)
+    if schema is not None and source_format == "json":
+        schema = _with_corrupt(schema)
     reader = (
         spark.read.format(source_format)
         .option("mode", PARSE_MODE)
@@ -64,12 +79,16 @@ def _with_types(found: StructType, declared: StructType) -> StructType:
     return StructType([kinds.get(f.name, f) for f in found.fields])
 
 
+def _with_corrupt(schema: StructType) -> StructType:
+    if CORRUPT_COLUMN in schema.names:
+        return schema
+    return StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
+
+
 def scan_json(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """JSON lines; a line that does not parse gives nulls and its text in CORRUPT_COLUMN."""
-    if CORRUPT_COLUMN not in schema.names:
-        schema = StructType([*schema.fields, StructField(CORRUPT_COLUMN, StringType())])
     return (
-        spark.read.schema(schema)
+        spark.read.schema(_with_corrupt(schema))
         .option("mode", PARSE_MODE)
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
         .option("dateFormat", DATE_FORMAT)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -88,13 +89,85 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return file_system.exists(hadoop_path)
 
 
+def move_tree(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder to a path that is free, on one file system."""
+    old, file_system = _hadoop_path(spark, source)
+    new, _ = _hadoop_path(spark, target)
+    if not file_system.rename(old, new):
+        raise OSError(f"{source} could not be renamed to {target}")
+
+
 def replace_tree(spark: SparkSession, new: str, old: str) -> None:
-    """Put a folder in the place of another one of the same file system."""
-    source, file_system = _hadoop_path(spark, new)
-    target, _ = _hadoop_path(spark, old)
-    file_system.delete(target, True)
-    if not file_system.rename(source, target):
-        raise OSError(f"{new} could not be renamed to {old}")
+    """Put a folder in the place of another one of the same file system.
+
+    The other one is kept under ``backup_of`` its path until the new one is in place, and is
+    put back if that fails.
+    """
+    backup = backup_of(old)
+    recover_tree(spark, old)
+    if path_exists(spark, old):
+        move_tree(spark, old, backup)
+    try:
+        move_tree(spark, new, old)
+    except Exception:
+        recover_tree(spark, old)
+        raise
+    delete_tree(spark, backup)
+
+
+def backup_of(path: str) -> str:
+    """Where ``replace_tree`` keeps a folder meanwhile; the name is one that readers skip."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_old.{name}"
+
+
+def recover_tree(spark: SparkSession, path: str) -> bool:
+    """Bring back what an interrupted ``replace_tree`` had moved away; whether it had.
+
+    If the new folder is in place already, the backup is what is left over.
+    """
+    backup = backup_of(path)
+    if not path_exists(spark, backup):
+        return False
+    if path_exists(spark, path):
+        delete_tree(spark, backup)
+        return False
+    move_tree(spark, backup, path)
+    return True
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, in order; none if it is absent."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return []
+    return sorted(status.getPath().getName() for status in file_system.listStatus(hadoop_path))
+
+
+def write_note(spark: SparkSession, path: str, note: object) -> None:
+    """A small JSON file, complete or not there: written beside its place and renamed."""
+    new, file_system = _hadoop_path(spark, f"{path}.{uuid.uuid4().hex}")
+    out = file_system.create(new, True)
+    try:
+        out.write(bytearray(json.dumps(note).encode()))
+    finally:
+        out.close()
+    target, _ = _hadoop_path(spark, path)
+    file_system.delete(target, False)
+    if not file_system.rename(new, target):
+        raise OSError(f"{path} could not be written")
+
+
+def read_note(spark: SparkSession, path: str) -> object | None:
+    """What ``write_note`` wrote, or None if there is no such file."""
+    hadoop_path, file_system = _hadoop_path(spark, path)
+    if not file_system.exists(hadoop_path):
+        return None
+    stream = file_system.open(hadoop_path)
+    try:
+        return json.loads(bytes(stream.readAllBytes()).decode())
+    finally:
+        stream.close()
 
 
 def delete_tree(spark: SparkSession, path: str) -> None:

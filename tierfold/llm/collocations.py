@@ -11,12 +11,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import written
+from tierfold.llm.common import bitmap, in_bitmap, written
 
 LONGEST = 5  # words of a phrase at most; edges have as many, nodes one less
 CHUNK_BYTES = 4 << 20  # of text that shares the numbers of its words
 NO_LANG = "und"
-_BUCKET_BITS = 1 << 15  # of Spark's bitmap aggregates
 _RANK_PARTS = 64  # in which phrases of a language are ranked before the whole language is
 _CHUNK = "lang string, n_words long, tokens binary, words array<binary>"
 _CHUNK_ARROW = pa.schema(
@@ -99,30 +98,10 @@ def _of_two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def _in(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Whether the slot of each hash is set; ``bits`` has a power of two of them."""
-    slot = hashes & np.uint64(8 * len(bits) - 1)
-    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def _bitmap(counts: DataFrame, least: int, log2_bits: int) -> np.ndarray:
-    """The slots of all hashes (``h``, ``c``) that are met ``least`` times, as bits.
-
-    Its size is fixed, whatever it holds: hashes that share a slot make it less selective, but
-    none that is met often enough is ever missing.
-    """
-    slot = F.col("h").bitwiseAND(F.lit((1 << log2_bits) - 1)) + 1
+def _often_met(counts: DataFrame, least: int, log2_bits: int) -> np.ndarray:
+    """The bitmap of all hashes (``h``, ``c``) that are met ``least`` times."""
     often = counts.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
-    parts = (
-        often.select(slot.alias("slot"))
-        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    )
-    bits = np.zeros((1 << log2_bits) // 8, np.uint8)
-    step = _BUCKET_BITS // 8
-    for bucket, found in parts.collect():
-        bits[(bucket - 1) * step : bucket * step] = np.frombuffer(found, np.uint8)
-    return bits
+    return bitmap(often, "h", log2_bits)
 
 
 def _counted(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
@@ -153,7 +132,7 @@ def _pairs(tokens: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def _often(lang: str, words: list[bytes], bits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     hashes = _hashes(lang, words)
-    often = _in(bits, hashes)
+    often = in_bitmap(bits, hashes)
     often[0] = False
     return hashes, often
 
@@ -207,7 +186,7 @@ def _edge_counts(words_met: np.ndarray, pairs_met: np.ndarray):
             hashes, often = _often(lang, words, words_met)
             at, pairs = _pairs(tokens, often)
             linked = np.zeros(len(tokens), bool)
-            linked[at] = _in(pairs_met, _of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)]))
+            linked[at] = in_bitmap(pairs_met, _of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)]))
             grams, counts = longest_grams(tokens, often, linked)
             for k in range(0, len(grams), 50_000):
                 part = grams[k : k + 50_000]
@@ -320,9 +299,9 @@ def phrase_graph(
     chunks = written(texts.mapInArrow(_chunks, _CHUNK), "collocation-chunks")
     totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     counted = "h long, c long"
-    words_met = _bitmap(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
+    words_met = _often_met(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
     pairs = chunks.mapInArrow(_pair_counts(words_met), counted)
-    pairs_met = _bitmap(pairs, least, log2_bits)
+    pairs_met = _often_met(pairs, least, log2_bits)
     grams = chunks.mapInArrow(
         _edge_counts(words_met, pairs_met), "lang string, gram string, size int, c long"
     )

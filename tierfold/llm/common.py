@@ -6,6 +6,7 @@ import string
 from collections.abc import Callable, Iterator
 from functools import wraps
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,9 +29,38 @@ def written(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage at files every executor can read, so that a lost executor repeats
     nothing above them and values that depend on task numbers stay as they are.
     """
+    return written_at(df, label)[0]
+
+
+def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """Same, with the folder, for what is deleted once nothing reads it any more."""
     path = shared_folder(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def bitmap(hashes: DataFrame, column: str, log2_bits: int = 26) -> np.ndarray:
+    """The slots of all values of a column of 64-bit hashes, as ``2 ** log2_bits`` bits.
+
+    Its size is fixed, whatever it holds: values that share a slot make it less selective, but
+    none is ever missing. So it may go to every task where it only saves work.
+    """
+    slot = (F.col(column).bitwiseAND(F.lit((1 << log2_bits) - 1)) + 1).alias("slot")
+    parts = (
+        hashes.select(slot)
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    )
+    bits = np.zeros((1 << log2_bits) // 8, np.uint8)
+    for bucket, found in parts.collect():  # 4 KB for each of at most 2 ** (log2_bits - 15)
+        bits[(bucket - 1) * len(found) : bucket * len(found)] = np.frombuffer(found, np.uint8)
+    return bits
+
+
+def in_bitmap(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the slot of each unsigned hash is set."""
+    slot = hashes & np.uint64(8 * len(bits) - 1)
+    return (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

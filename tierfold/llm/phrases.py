@@ -9,16 +9,26 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches, shuffle_partitions, written
+from tierfold.llm.common import (
+    bitmap,
+    in_batches,
+    in_bitmap,
+    shuffle_partitions,
+    written,
+    written_at,
+)
+from tierfold.staging import delete_tree
 
 PHRASE = 6  # words of a phrase; every window of 20 words holds one that its content selects
 BLOCK_BYTES = 8 << 20  # of text that share an automaton
+TASK_BLOCKS = 16  # blocks a task works off one after the other at most, on average
 _RANDOM = np.random.default_rng(29)
 _BASES = [int(x) * 8 + 5 for x in _RANDOM.integers(1, 2**60, 2)]  # odd, of the full period
 _FOUND = (
@@ -132,30 +142,66 @@ def _surveyed(batch: pa.RecordBatch, width: int) -> pa.RecordBatch:
     words_of, rows = Numbering(), []
     for text in batch.column("text").to_pylist():
         words = (text or b"").split()
-        content = xxhash.xxh3_128_intdigest(b" ".join(words))
+        joined = b" ".join(words)
+        content = xxhash.xxh3_128_intdigest(joined)
         _, found = selected(words_of.hashes(words_of.ids(words)), width)
         values, times = np.unique(found, return_counts=True)
         high, low = content >> 64, content & (2**64 - 1)
         phrases = _signed(np.repeat(values, np.minimum(times, 2)))
-        rows.append((len(text or b""), high - 2**63, low - 2**63, phrases))
+        whole = hashlib.sha256(joined).hexdigest()
+        rows.append((len(text or b""), high - 2**63, low - 2**63, phrases, len(words), whole))
         if len(words_of.number) > 400_000:
             words_of = Numbering()
-    sizes, h1, h2, phrases = zip(*rows, strict=True)
+    sizes, h1, h2, phrases, n_words, whole = zip(*rows, strict=True)
     return pa.RecordBatch.from_pydict(
         {
-            "key": batch.column("key"), "doc_id": batch.column("doc_id"),
-            "size": pa.array(sizes, pa.int64()), "h1": pa.array(h1, pa.int64()),
+            "key": batch.column("key"), "key2": batch.column("key2"),
+            "doc_id": batch.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
+            "kept_sha256": pa.array(whole, pa.string()), "size": pa.array(sizes, pa.int64()), "h1": pa.array(h1, pa.int64()),
             "h2": pa.array(h2, pa.int64()), "phrases": pa.array(phrases, pa.list_(pa.int64())),
         }
     )
 
 
-def _packed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    squeeze = zstandard.ZstdCompressor(level=3).compress
-    texts = [squeeze(b" ".join((x or b"").split())) for x in batch.column("text").to_pylist()]
-    return batch.set_column(
-        batch.schema.get_field_index("text"), "text", pa.array(texts, pa.binary())
-    )
+def _unsigned(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _recurring_keys(bits: np.ndarray):
+    """Keys of the surveyed rows one of whose phrases is in the bitmap of recurring ones."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        phrases = batch.column("phrases")
+        sizes = pc.list_value_length(phrases).fill_null(0).to_numpy(zero_copy_only=False)
+        hit = in_bitmap(bits, _unsigned(phrases.flatten()))
+        rows = np.repeat(np.arange(len(sizes)), sizes)[hit]
+        mask = np.zeros(len(sizes), bool)
+        mask[rows] = True
+        return batch.select(["key", "key2"]).filter(pa.array(mask))
+
+    return over
+
+
+def _without(bits: np.ndarray):
+    """Surveyed rows whose key is not in the bitmap of those to search."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array(~in_bitmap(bits, _unsigned(batch.column("key")))))
+
+    return over
+
+
+def _packed(bits: np.ndarray):
+    """Rows whose key is in the bitmap, with their words joined by one space and compressed."""
+
+    def over(batch: pa.RecordBatch) -> pa.RecordBatch:
+        squeeze = zstandard.ZstdCompressor(level=9)
+        batch = batch.filter(pa.array(in_bitmap(bits, _unsigned(batch.column("key")))))
+        texts = [b" ".join((x or b"").split()) for x in batch.column("text").to_pylist()]
+        packed = pa.array([squeeze.compress(x) for x in texts], pa.binary())
+        return batch.set_column(batch.schema.get_field_index("text"), "text", packed)
+
+    return over
 
 
 def _kept(words: list[bytes], gone: np.ndarray | None) -> tuple[int, str]:
@@ -179,8 +225,8 @@ class Block:
     def __init__(self, width: int) -> None:
         self.width = width
         self.recurring: list[np.ndarray] = []
-        self.copies: set[int] = set()
-        self.docs: list[tuple[int, int | None, bytes]] = []
+        self.copies: set[tuple[int, int]] = set()
+        self.docs: list[tuple[tuple[int, int], int | None, bytes]] = []
 
     def rows(self, next_uid: Iterator[int]) -> Iterator[dict]:
         """Documents streamed through the automaton compiled from the block's phrases."""
@@ -286,11 +332,13 @@ def _streamed(width: int):
                 values = part.column("value").to_numpy()
                 if kinds[a] == 0:
                     block.recurring.append(values)
-                elif kinds[a] == 1:
-                    block.copies.update(values.tolist())
+                    continue
+                keys = zip(values.tolist(), part.column("value2").to_pylist(), strict=True)
+                if kinds[a] == 1:
+                    block.copies.update(keys)
                 else:
                     ids, texts = part.column("doc_id").to_pylist(), part.column("text").to_pylist()
-                    block.docs.extend(zip(values.tolist(), ids, texts, strict=True))
+                    block.docs.extend(zip(keys, ids, texts, strict=True))
         yield from done()
 
     return over
@@ -327,7 +375,10 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
 
     1. Every window selects the least, by hash, of its six-word phrases. Selected phrases are
        counted over all documents; those met twice recur. Rows of equal words are copies of the
-       one with the smallest id and need no search.
+       one with the smallest id and need no search; nor do rows without a recurring phrase.
+       Both are settled where they were read: bitmaps of fixed size tell the tasks which
+       phrases recur and which rows are to be searched, and where slots are shared a row too
+       many is searched.
     2. Documents go in blocks of 8 MB of text, each with the recurring phrases selected in it.
        A block compiles an Aho-Corasick automaton over word numbers from them and streams its
        documents through it; windows around an occurrence are candidates, hashed to 96 bits.
@@ -346,46 +397,73 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
     """
     spark = docs.sparkSession
     keyed = docs.select(
-        F.xxhash64("doc_id", "text").alias("key"), "doc_id", F.col("text").cast("binary").alias("text")
+        F.xxhash64("doc_id", "text").alias("key"),
+        F.xxhash64(F.lit(1), "doc_id", "text").alias("key2"),
+        "doc_id",
+        F.col("text").cast("binary").alias("text"),
     )
-    survey = written(
+    survey, survey_folder = written_at(
         in_batches(
             keyed,
             lambda b: _surveyed(b, width),
-            "key long, doc_id long, size long, h1 long, h2 long, phrases array<long>",
+            "key long, key2 long, doc_id long, n_words long, kept_sha256 string, size long,"
+            " h1 long, h2 long, phrases array<long>",
         ),
         "phrase-survey",
     )
     size = survey.agg(F.sum("size")).first()[0] or 0
-    blocks = F.pmod(F.col("key"), F.lit(1 + size // BLOCK_BYTES)).cast("int").alias("block")
+    n_blocks = 1 + size // BLOCK_BYTES
+    blocks = F.pmod(F.col("key"), F.lit(n_blocks)).cast("int").alias("block")
+    key = ["key", "key2"]
 
     order = F.coalesce("doc_id", F.lit(-(2**63)))
     firsts = survey.groupBy("h1", "h2").agg(F.min(order).alias("first"), F.max(order).alias("last"))
     copies = written(
-        survey.select("key", "doc_id", "h1", "h2")
+        survey.select(*key, "doc_id", "h1", "h2")
         .join(firsts.filter("first < last"), ["h1", "h2"])
-        .filter(order > F.col("first")).select("key").distinct(),
+        .filter(order > F.col("first")).select(*key).distinct(),
         "phrase-copies",
     )
-    met = survey.join(copies, "key", "left_anti").select(blocks, F.explode("phrases").alias("value"))
+    met = survey.join(copies, key, "left_anti").select(blocks, F.explode("phrases").alias("value"))
     twice = met.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("value")
-    recurring = met.join(twice, "value", "left_semi").distinct()
-    texts = in_batches(
-        keyed.select(blocks, F.col("key").alias("value"), "doc_id", "text"),
-        _packed,
-        "block int, value long, doc_id long, text binary",
+    recurring = written(met.join(twice, "value", "left_semi").distinct(), "phrase-recurring")
+
+    hits = in_batches(
+        survey.select(*key, "phrases"),
+        _recurring_keys(bitmap(recurring, "value")),
+        "key long, key2 long",
     )
+    searched = bitmap(hits.join(copies, key, "left_anti"), "key")
+    plain = in_batches(
+        survey.select(*key, "doc_id", "n_words", "kept_sha256"),
+        _without(searched),
+        "key long, key2 long, doc_id long, n_words long, kept_sha256 string",
+    ).join(copies.withColumn("is_copy", F.lit(True)), key, "left")
+    gone_whole = F.col("is_copy") & (F.col("n_words") >= width)
+    settled = written(
+        plain.select(
+            "doc_id", "n_words",
+            F.when(gone_whole, F.col("n_words")).otherwise(0).alias("n_removed"),
+            F.when(gone_whole, _kept([], None)[1]).otherwise(F.col("kept_sha256"))
+            .alias("kept_sha256"),
+        ),
+        "phrase-settled",
+    )
+
+    texts = in_batches(
+        keyed, _packed(searched), "key long, key2 long, doc_id long, text binary"
+    ).select(blocks, F.lit(2).alias("kind"), F.col("key").alias("value"),
+             F.col("key2").alias("value2"), "doc_id", "text")
     nothing = [F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("binary").alias("text")]
-    columns = ["block", "kind", "value", "doc_id", "text"]
     dealt = (
-        recurring.select("block", F.lit(0).alias("kind"), "value", *nothing)
-        .union(copies.select(blocks, F.lit(1), "key", *nothing))
-        .union(texts.select("block", F.lit(2), "value", "doc_id", "text"))
-        .select(*columns)
-        .repartition(shuffle_partitions(spark), "block")
+        recurring.select("block", F.lit(0).alias("kind"), "value", F.lit(None).cast("long").alias("value2"), *nothing)
+        .union(copies.select(blocks, F.lit(1), *key, *nothing))
+        .union(texts)
+        .repartition(max(shuffle_partitions(spark), -(-n_blocks // TASK_BLOCKS)), "block")
         .sortWithinPartitions("block", "kind")
-    )
+    )
     found = written(dealt.mapInArrow(_streamed(width), _FOUND), "phrase-occurrences")
+    delete_tree(spark, survey_folder)  # nothing that follows reads it
 
     windows = found.filter("packed is not null").select(
         "uid", order.alias("doc"), F.explode(F.arrays_zip("places", "w1", "w2")).alias("x")
@@ -395,9 +473,9 @@ def without_repeats(docs: DataFrame, width: int = 20) -> DataFrame:
         windows.withColumn("first", first).filter("doc > first")
         .groupBy("uid").agg(F.collect_list("places").alias("gone"))  # at most the words of a text
     )
-    searched = found.filter("packed is not null").join(gone, "uid", "left").select(
+    candidates = found.filter("packed is not null").join(gone, "uid", "left").select(
         "doc_id", "n_words", "packed", "own", "gone"
     )
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     plain = found.filter("packed is null").select("doc_id", "n_words", "n_removed", "kept_sha256")
-    return plain.union(in_batches(searched, _finished(width), schema))
+    return settled.union(plain).union(in_batches(candidates, _finished(width), schema))

@@ -12,10 +12,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierfold.llm.common import in_batches, written
+from tierfold.llm.common import in_batches, shuffle_partitions, written
 from tierfold.llm.lattice import DEFAULT_VOCABULARY, Vocabulary, load_vocabulary, log_likelihoods
 
 CHUNK_BYTES = 32 << 20  # of text counted together; bounds the dictionary of a task
+TASK_CHUNKS = 4  # chunks a task scores one after the other, on average
 _ROW_WORDS = 20_000
 _COUNTED = pa.schema(
     [
@@ -151,9 +152,11 @@ def lattice_scores(
         "chunk", (F.col("first") + F.col("k")).alias("id"), F.col("x.words").alias("word"),
         F.col("x.trained").alias("trained"),
     )
-    words = written(entries.groupBy("word").agg(F.sum("trained").alias("c")), "lm-words")
+    # in the order of their length, as words of one length are worked off as vectors
+    counts = entries.groupBy("word").agg(F.sum("trained").alias("c"))
+    words = written(counts.sortWithinPartitions(F.octet_length("word")), "lm-words")
     total, distinct = words.agg(F.sum("c"), F.sum(F.expr("int(c > 0)"))).first()
-    ends = per_doc.filter("not held_out").count()
+    ends, chunks = per_doc.agg(F.count_if(~F.col("held_out")), F.count_distinct("chunk")).first()
     n, v = (total or 0) + ends, (distinct or 0) + (ends > 0)
     logp, end = trained_model(words, ends, vocabulary, rounds)
 
@@ -192,12 +195,13 @@ def lattice_scores(
             }
         )
 
+    parts = max(shuffle_partitions(docs.sparkSession), -(-chunks // TASK_CHUNKS))
     return (
-        per_doc.groupBy("chunk")
-        .cogroup(back.groupBy("of_chunk"))
+        per_doc.repartition(parts, "chunk").groupBy("chunk")
+        .cogroup(back.repartition(parts, "of_chunk").groupBy("of_chunk"))
         .applyInArrow(
             gathered,
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long,"
             " base_score double, score double",
         )
-    )
+    )

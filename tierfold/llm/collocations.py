@@ -147,13 +147,42 @@ def _pair_counts(words_met: np.ndarray):
     return over
 
 
+def _linked(
+    tokens: np.ndarray, hashes: np.ndarray, often: np.ndarray, pairs_met: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of each place whether the pair that begins there is often met, and the pair's hash."""
+    at, pairs = _pairs(tokens, often)
+    linked, of_pair = np.zeros(len(tokens), bool), np.zeros(len(tokens), np.uint64)
+    of_pair[at] = _of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)])
+    linked[at] = in_bitmap(pairs_met, of_pair[at])
+    return linked, of_pair
+
+
+def _triples(
+    tokens: np.ndarray, hashes: np.ndarray, linked: np.ndarray, of_pair: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the triples both pairs of which are often met, and the triples' hashes."""
+    at = np.flatnonzero(linked[:-1] & linked[1:])
+    return at, _of_two(of_pair[at], hashes[tokens[at + 2]]) if len(at) else of_pair[at]
+
+
+def _triple_counts(words_met: np.ndarray, pairs_met: np.ndarray):
+    def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, tokens, words in _rows(batches):
+            hashes, often = _often(lang, words, words_met)
+            _, found = _triples(tokens, hashes, *_linked(tokens, hashes, often, pairs_met))
+            yield _counted(*np.unique(found, return_counts=True))
+
+    return over
+
+
 def longest_grams(
-    tokens: np.ndarray, often: np.ndarray, linked: np.ndarray
+    tokens: np.ndarray, often: np.ndarray, linked: np.ndarray, tripled: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
     """Of every place its longest gram, as rows of ``LONGEST`` numbers filled up with 0; counts.
 
-    A gram goes on as long as words are linked and in the same piece, up to ``LONGEST``.
-    ``linked`` says of each place whether the words here and next are a pair that is often met.
+    A gram goes on as long as its pairs and triples are often met, and so in the same piece, up
+    to ``LONGEST``. ``linked`` and ``tripled`` say that of the pair and triple at each place.
     """
     width = LONGEST - 1
     alone = often[tokens] & ~linked
@@ -163,14 +192,15 @@ def longest_grams(
     grams[0][:, 0] = ids
     at = np.flatnonzero(linked)
     if len(at):
-        padded = np.concatenate([linked, np.zeros(width, bool)])
+        padded = np.concatenate([tripled, np.zeros(width, bool)])
         following = np.concatenate([tokens, np.zeros(LONGEST, np.int32)])
         goes_on = np.ones(len(at), bool)
         key = following[at].astype(np.int64)
         wide = np.zeros((len(at), LONGEST), np.int32)
         wide[:, 0] = following[at]
         for k in range(1, LONGEST):
-            goes_on &= padded[at + k - 1]
+            if k > 1:
+                goes_on &= padded[at + k - 2]
             wide[:, k] = np.where(goes_on, following[at + k], 0)
             # ranks of the distinct grams so far keep the key within 64 bits
             key = np.unique((key << 32) | wide[:, k], return_inverse=True)[1]
@@ -180,14 +210,15 @@ def longest_grams(
     return np.concatenate(grams), np.concatenate(counts)
 
 
-def _edge_counts(words_met: np.ndarray, pairs_met: np.ndarray):
+def _edge_counts(words_met: np.ndarray, pairs_met: np.ndarray, triples_met: np.ndarray):
     def over(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, tokens, words in _rows(batches):
             hashes, often = _often(lang, words, words_met)
-            at, pairs = _pairs(tokens, often)
-            linked = np.zeros(len(tokens), bool)
-            linked[at] = in_bitmap(pairs_met, _of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)]))
-            grams, counts = longest_grams(tokens, often, linked)
+            linked, of_pair = _linked(tokens, hashes, often, pairs_met)
+            at, triples = _triples(tokens, hashes, linked, of_pair)
+            tripled = np.zeros(len(tokens), bool)
+            tripled[at] = in_bitmap(triples_met, triples)
+            grams, counts = longest_grams(tokens, often, linked, tripled)
             for k in range(0, len(grams), 50_000):
                 part = grams[k : k + 50_000]
                 text = [
@@ -285,10 +316,11 @@ def phrase_graph(
     """Totals (lang, n), compacted paths (lang, words, c) and shorter ends (lang, gram, c).
 
     1. Texts become numbers of words in chunks of 4 MB, written once with their words.
-    2. Words, then pairs of such words, met less than ``least`` times are found by hash; what
-       is passed to the tasks is a bitmap of ``2 ** log2_bits`` bits, whatever the corpus. No
-       phrase that is met ``least`` times crosses such a word or pair, so pieces end there too;
-       a slot shared by several hashes only leaves more to count.
+    2. Words, then pairs of such words, then triples of such pairs, met less than ``least``
+       times are found by hash; what is passed to the tasks are bitmaps of ``2 ** log2_bits``
+       bits, whatever the corpus. No phrase that is met ``least`` times holds such a word,
+       pair or triple, so pieces end there too; a slot shared by several hashes only leaves
+       more to count.
     3. Every place gives its longest gram: five words, an edge between the nodes of four words
        that overlap in it, or fewer at the end of a piece. Equal grams are added up, by their
        words, first within a chunk.
@@ -302,8 +334,10 @@ def phrase_graph(
     words_met = _often_met(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
     pairs = chunks.mapInArrow(_pair_counts(words_met), counted)
     pairs_met = _often_met(pairs, least, log2_bits)
+    triples = chunks.mapInArrow(_triple_counts(words_met, pairs_met), counted)
+    triples_met = _often_met(triples, least, log2_bits)
     grams = chunks.mapInArrow(
-        _edge_counts(words_met, pairs_met), "lang string, gram string, size int, c long"
+        _edge_counts(words_met, pairs_met, triples_met), "lang string, gram string, size int, c long"
     )
     summed = written(
         grams.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c")), "collocation-grams"

@@ -234,7 +234,7 @@ def test_pipeline_on_empty_and_odd_tables(odd_docs, no_docs, spark, sf_dir):
 def test_every_operator_is_registered():
     names = entry_module.queries()
     numbers = sorted(int(n[2 : n.index("_")]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.QUERIES) < set(names)
+    assert numbers == list(range(1, 14)) and set(queries.QUERIES) < set(names)
     assert "pipeline" in names and set(entry_module.oracle_sql()) <= set(names)
 
 

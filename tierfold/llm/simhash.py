@@ -207,27 +207,35 @@ def deduplicated(
 ) -> DataFrame:
     """One row of every component of ``near_duplicates``: that of the smallest doc_id.
 
-    Among rows of that id one is taken by a hash of the whole row; of rows equal in every
-    column one stays. Columns and their order stay.
+    Among rows of that id one is taken by two hashes of the whole row; of rows equal in every
+    column one stays. Null and empty texts are alike, so one row of them all stays; an empty
+    table gives none. Columns and their order stay.
     """
-    keyed = docs.withColumn("__key", F.xxhash64(*docs.columns))
+    whole = [*docs.columns, *(F.isnull(c) for c in docs.columns)]  # hashes pass over nulls
+    keyed = docs.withColumns(
+        {"__key": F.xxhash64(*whole), "__key2": F.xxhash64(F.lit(1), *whole)}
+    )
 
     def over(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [fingerprint(x or b"", shingle) for x in batch.column("text").to_pylist()]
         return pa.RecordBatch.from_pydict(
             {
                 "doc_id": batch.column("doc_id"), "key": batch.column("key"),
-                "fp": pa.array(found, pa.int64()),
+                "key2": batch.column("key2"), "fp": pa.array(found, pa.int64()),
             }
         )
 
     rows = keyed.select(
-        "doc_id", F.col("__key").alias("key"), F.col("text").cast("binary").alias("text")
+        "doc_id", F.col("__key").alias("key"), F.col("__key2").alias("key2"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    marked = written(
+        in_batches(rows, over, "doc_id long, key long, key2 long, fp long"), "simhash-rows"
     )
-    marked = written(in_batches(rows, over, "doc_id long, key long, fp long"), "simhash-rows")
-    classes = _classes(marked, F.struct("doc_id", "key"), radius, segments)
-    kept = classes.select(F.col("first.key").alias("__key")).distinct()
-    return keyed.join(kept, "__key").dropDuplicates(["__key"]).select(*docs.columns)
+    classes = _classes(marked, F.struct("doc_id", "key", "key2"), radius, segments)
+    both = ["__key", "__key2"]
+    kept = classes.select(F.col("first.key").alias(both[0]), F.col("first.key2").alias(both[1]))
+    return keyed.join(kept.distinct(), both).dropDuplicates(both).select(*docs.columns)
 
 
 def fingerprint_hex(fp: Column) -> Column:

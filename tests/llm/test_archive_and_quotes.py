@@ -4,9 +4,12 @@ import base64
 import gzip
 import hashlib
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tierfold.llm import archive as archive_module
+from tierfold.llm import queries
 from tierfold.llm.archive import archived_pages, read_warc, records_of, store_warc, write_warc
 from tierfold.llm.quotes import latest_before, reply_ordered
 
@@ -66,6 +69,63 @@ def test_stored_payload_is_verified(spark, pages, tmp_path):
         type(archive)(archive.headers, changed).reconstructed().collect()
 
 
+def test_records_of_a_hot_payload_are_rebuilt_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(archive_module, "PART_RECORDS", 10)
+    data = [(i, f"u{i}", "same" * 50) for i in range(95)] + [(i, f"u{i}", f"p{i}") for i in range(95, 130)]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    archive = archived_pages(pages)
+    assert archive.payloads.count() == 36 and archive.payloads.agg(F.max("parts")).first()[0] == 10
+    assert archive.headers.select("sha256", "part").distinct().count() > 40
+    found = {r["page_id"]: r for r in archive.reconstructed().collect()}
+    assert len(found) == 130
+    for page, url, html in data:
+        r = found[page]
+        assert (r["url"], bytes(r["payload"])) == (url, html.encode())
+        assert r["refers_to"] == (94 if page < 94 else None)
+        assert bytes(r["record"]).endswith(html.encode() + b"\r\n\r\n")
+
+
+@pytest.mark.parametrize("slots", [0, 255])
+def test_any_bitmap_gives_the_same_archive(spark, pages, monkeypatch, slots):
+    """Payloads told single by an empty bitmap would be wrong; a full one only costs a shuffle."""
+    real = archive_module.bitmap
+
+    def other(hashes, column):
+        bits = real(hashes, column)
+        return bits if slots == 0 else bits | slots
+
+    monkeypatch.setattr(archive_module, "bitmap", other)
+    archive = archived_pages(pages)
+    assert archive.payloads.count() == 4
+    assert archive.reconstructed(contents=False).count() == 8
+
+
+def test_the_query_rebuilds_records_and_notices_damage(spark, sf_dir, monkeypatch):
+    found = sorted(map(tuple, queries.op3_content_archive(spark, sf_dir).collect()))
+    rows = duckdb.sql(f"select page_id, html from '{sf_dir}/pages.parquet'").fetchall()
+    last = {}
+    for page, html in rows:
+        last[html or ""] = max(page, last.get(html or "", page))
+    truth = []
+    for page, html in rows:
+        payload, owner = (html or "").encode(), last[html or ""]
+        digest = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+        kind = "response" if owner == page else "revisit"
+        truth.append((page, len(payload), digest, kind, None if owner == page else owner))
+    assert found == sorted(truth)
+
+    real = queries.archived_pages
+
+    def damaged(pages):
+        archive = real(pages)
+        cut = F.expr("if(xxhash64(sha256) % 50 = 0, substring(payload, 1, 40), payload)")
+        return type(archive)(archive.headers, archive.payloads.withColumn("payload", cut))
+
+    monkeypatch.setattr(queries, "archived_pages", damaged)
+    with pytest.raises(Exception, match="does not match its digest"):
+        queries.op3_content_archive(spark, sf_dir).collect()
+
+
 CHAT = "conv_id long, turn long, role string, text string, body string, row string"
 
 

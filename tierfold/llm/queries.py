@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierfold.llm.archive import archived_pages, base32_of_hex
+from tierfold.llm.archive import archived_pages
 from tierfold.llm.collocations import collocations
 from tierfold.llm.common import table
 from tierfold.llm.decontaminate import contaminated_passages
@@ -32,11 +32,7 @@ def op2_lattice_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_content_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payload = {
-        "payload_bytes": F.octet_length("payload").cast("long"),
-        "payload_digest": base32_of_hex(F.sha1("payload")),
-    }
-    return archived_pages(table(spark, sf_dir, "pages")).joined(payload).select(
+    return archived_pages(table(spark, sf_dir, "pages")).reconstructed(contents=False).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
 

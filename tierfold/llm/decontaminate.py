@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,7 @@ BLOCK_CHARS = 1 << 20  # of benchmark text searched for in one pass over the doc
 MATCHES = (
     "doc_id long, item_id long, start long, end long, edits int, edit_budget int, shared_qgrams int"
 )
+LEAKS = "__leak long, __leak2 long"
 _BLANK = np.zeros(128, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BASE, _MARK = np.uint64(0x100000001B3), np.uint64(0x9E3779B97F4A7C15)
@@ -34,6 +37,15 @@ def normalised(text: str) -> tuple[np.ndarray, np.ndarray]:
     return points[places], places
 
 
+def trimmed(points: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same without a space at either end."""
+    inside = slice(int(len(points) > 0 and points[0] == 32), len(points))
+    points, places = points[inside], places[inside]
+    if len(points) and points[-1] == 32:
+        points, places = points[:-1], places[:-1]
+    return points, places
+
+
 def qgrams(points: np.ndarray, q: int) -> np.ndarray:
     n = len(points) - q + 1
     out = np.zeros(max(n, 0), np.uint64)
@@ -60,13 +72,13 @@ class Index:
 
     def __init__(self, items: list[tuple[int | None, str]], q: int, share: float) -> None:
         self.q, self.items, grams, owners, places = q, [], [], [], []
+        self.short: dict[bytes, list[Item]] = {}
         for item_id, text in items:
-            points = normalised(text)[0]
-            if len(points) and points[0] == 32:
-                points = points[1:]
-            if len(points) and points[-1] == 32:
-                points = points[:-1]
+            points, _ = trimmed(*normalised(text))
             if len(points) < q:
+                if len(points):
+                    short = Item(item_id, points, 0, 0)
+                    self.short.setdefault(points.tobytes(), []).append(short)
                 continue
             budget = min(int(share * len(points)), (len(points) - q) // q)
             found = qgrams(points, q)
@@ -207,12 +219,14 @@ def contaminated_passages(
     lemma it then shares at least ``m + 1 - q - budget * q`` q-grams with the item, on diagonals
     not further apart than the budget; shared q-grams are counted in overlapping diagonal
     bands, bands that reach the bound are kept and verified by banded alignment. For short
-    items the budget is lowered until the bound is at least one; items of fewer than ``q``
-    characters name nothing and are not searched for.
+    items the budget is lowered until the bound is at least one. Items of fewer than ``q``
+    characters have no q-gram: they match texts that are equal to them as a whole, as a word
+    or two inside a text say nothing of a benchmark.
 
     Different items go in blocks of about a million characters, one pass over the documents for
     each, so what a task holds is bounded however large the benchmark or often an item repeats;
-    repeats are joined to the matches. Documents are not shuffled.
+    a block's matches are written before the next block is built, so the driver holds one.
+    Repeats are joined to the matches. Documents are not shuffled.
 
     Returns doc_id, item_id, start, end (code points of the text as given), edits, edit_budget
     and shared_qgrams, one row for each passage and item. Null and empty texts or items match
@@ -220,7 +234,10 @@ def contaminated_passages(
     columns are not looked at.
     """
     items = _items(benchmark)
-    found = _matches_of_items(docs, items, share, q).withColumnRenamed("item_id", "key")
+    rows = docs.select("doc_id", "text")
+    found = _matches_of_items(rows, items, share, q, _matches, MATCHES).withColumnRenamed(
+        "item_id", "key"
+    )
     repeated = items.select("key", "item_id", F.explode(F.expr("sequence(1L, times)")).alias("time"))
     return found.join(repeated, "key").select(*(x.split()[0] for x in MATCHES.split(", ")))
 
@@ -232,30 +249,41 @@ def _items(benchmark: DataFrame) -> DataFrame:
     return written(counted.withColumn("key", F.xxhash64("item_id", "text")), "benchmark-items")
 
 
-def _matches_of_items(docs: DataFrame, items: DataFrame, share: float, q: int) -> DataFrame:
-    """``MATCHES`` once for each different item, whose key stands as ``item_id``."""
+def _matches_of_items(
+    rows: DataFrame,
+    items: DataFrame,
+    share: float,
+    q: int,
+    function: Callable[[pa.RecordBatch, Index], pa.RecordBatch],
+    schema: str,
+) -> DataFrame:
+    """``function`` over all ``rows`` with the index of each block of ``items`` in turn."""
     size = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = 1 + size // BLOCK_CHARS
-    rows = docs.select("doc_id", "text")
-    found = None
+    parts = []
     for k in range(count):
         # at most about BLOCK_CHARS characters, and one long item
         block = items.filter(F.pmod("key", F.lit(count)) == k)
         index = Index([tuple(r) for r in block.select("key", "text").collect()], q, share)
-        part = in_batches(rows, lambda b, index=index: _matches(b, index), MATCHES)
-        found = part if found is None else found.union(part)
-    return found
+        part = in_batches(rows, lambda b, index=index: function(b, index), schema)
+        parts.append(written(part, "benchmark-matches"))
+    return reduce(DataFrame.union, parts)
 
 
 def _matches(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
+    """``MATCHES`` of a batch (doc_id, text), the item's key as ``item_id``."""
     rows = []
     ids = batch.column("doc_id").to_pylist()
     for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
         if not text:
             continue
         points, places = normalised(text)
-        for item, start, end, edits, shared in index.matches(points):
-            entry = index.items[item]
+        found = [(index.items[item], *match) for item, *match in index.matches(points)]
+        if len(points) < index.q + 2:
+            points, places = trimmed(points, places)
+            same = index.short.get(points.tobytes(), [])
+            found += [(entry, 0, len(points), 0, 0) for entry in same]
+        for entry, start, end, edits, shared in found:
             rows.append(
                 (
                     doc_id, entry.item_id, int(places[start]), int(places[end - 1]) + 1, edits,
@@ -270,16 +298,26 @@ def _matches(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
     )
 
 
+def _leaks(batch: pa.RecordBatch, index: Index) -> pa.RecordBatch:
+    """``LEAKS`` of the texts of a batch (both hashes, text) in which an item was found."""
+    alone = pa.RecordBatch.from_arrays(
+        [pa.array(range(batch.num_rows), pa.int64()), batch.column("text")], ["doc_id", "text"]
+    )
+    hit = pa.array(sorted(set(_matches(alone, index).column("doc_id").to_pylist())), pa.int64())
+    return batch.select(["__leak", "__leak2"]).take(hit)
+
+
 @keeps_columns
 def without_contaminated(
     docs: DataFrame, benchmark: DataFrame, share: float = EDIT_SHARE, q: int = QGRAM
 ) -> DataFrame:
     """Rows of ``docs`` in which no benchmark item was found; columns stay as they are.
 
-    Decided by text, so rows that repeat an id are judged one by one.
+    Decided by text, told by two 64-bit hashes, so rows that repeat an id are judged one by
+    one and copies alike. Null and empty texts stay; with an empty benchmark all rows do.
     """
-    keyed = docs.select(F.xxhash64("text").alias("doc_id"), "text")
-    leaks = _matches_of_items(keyed, _items(benchmark), share, q).select(
-        F.col("doc_id").alias("__leak")
-    )
-    return docs.join(leaks.distinct(), F.xxhash64(docs["text"]) == F.col("__leak"), "left_anti")
+    hashes = {"__leak": F.xxhash64("text"), "__leak2": F.xxhash64(F.lit(1), "text")}
+    rows = docs.select(*(h.alias(n) for n, h in hashes.items()), "text")
+    leaks = _matches_of_items(rows, _items(benchmark), share, q, _leaks, LEAKS).distinct()
+    keyed = docs.withColumns(hashes)
+    return keyed.join(leaks, list(hashes), "left_anti").select(*docs.columns)

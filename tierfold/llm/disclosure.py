@@ -21,8 +21,8 @@ CARD = (
 )
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT_CHARS = 160
 CONTEXT_WORDS = 10
+CONTEXT_CHARS = (160, 2_560, 40_960)  # looked at in turn until they hold that many words
 _SPAN = "struct<start:int,end:int,value:string>"
 
 
@@ -87,10 +87,11 @@ def base_spans(text: Column) -> dict[str, Column]:
 
 
 def _around(text: Column, span: Column) -> Column:
-    """Words of up to ten on either side of a span, with their places."""
-    left_at = F.greatest(span["start"] - CONTEXT_CHARS, F.lit(0))
-    left = text.substr(left_at + 1, span["start"] - left_at)
-    right = text.substr(span["end"] + 1, F.lit(CONTEXT_CHARS))
+    """The ten words on either side of a span (fewer at the ends of the text), with their places.
+
+    Only as much of the text is split as is needed to find them; where the last of
+    ``CONTEXT_CHARS`` is too little, as between very long words, all of that side.
+    """
 
     def placed(part: Column, at: Column) -> Column:
         return F.transform(
@@ -102,17 +103,36 @@ def _around(text: Column, span: Column) -> Column:
         )
 
     # a word cut by the edge of the part, or one that touches the span, is not a whole word
-    before = F.filter(
-        placed(left, left_at),
-        lambda w: ((w["start"] > left_at) | (left_at == 0)) & (w["end"] < span["start"]),
-    )
-    after = F.filter(
-        placed(right, span["end"]),
-        lambda w: (w["start"] > span["end"])
-        & ((w["end"] < span["end"] + CONTEXT_CHARS) | (w["end"] == F.length(text))),
-    )
-    near = F.slice(before, F.greatest(F.size(before) - CONTEXT_WORDS + 1, F.lit(1)), CONTEXT_WORDS)
-    return F.concat(near, F.slice(after, 1, CONTEXT_WORDS))
+    def before(left_at: Column) -> Column:
+        left = text.substr(left_at + 1, span["start"] - left_at)
+        whole = F.filter(
+            placed(left, left_at),
+            lambda w: ((w["start"] > left_at) | (left_at == 0)) & (w["end"] < span["start"]),
+        )
+        first = F.greatest(F.size(whole) - CONTEXT_WORDS + 1, F.lit(1))
+        return F.slice(whole, first, CONTEXT_WORDS)
+
+    def after(right_to: Column) -> Column:
+        right = text.substr(span["end"] + 1, right_to - span["end"])
+        whole = F.filter(
+            placed(right, span["end"]),
+            lambda w: (w["start"] > span["end"])
+            & ((w["end"] < right_to) | (right_to == F.length(text))),
+        )
+        return F.slice(whole, 1, CONTEXT_WORDS)
+
+    near_left, near_right = before(F.lit(0)), after(F.length(text))
+    for chars in reversed(CONTEXT_CHARS):
+        left_at = F.greatest(span["start"] - chars, F.lit(0))
+        right_to = F.least(span["end"] + chars, F.length(text))
+        left, right = before(left_at), after(right_to)
+        near_left = F.when((left_at == 0) | (F.size(left) == CONTEXT_WORDS), left).otherwise(
+            near_left
+        )
+        near_right = F.when(
+            (right_to == F.length(text)) | (F.size(right) == CONTEXT_WORDS), right
+        ).otherwise(near_right)
+    return F.concat(near_left, near_right)
 
 
 def mentions(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -273,7 +293,8 @@ def sanitised(
     Base spans become ``[EMAIL]``, ``[IP]``, ``[CARD]`` or ``[PHONE]``. A term that gives away
     at least ``remove_from`` of an entity is removed, one above the threshold is generalised
     to ``[TERM]``. Where spans overlap the first one's mark stands for all. Rows without
-    personal data pass unchanged and are not shuffled; columns and their order stay.
+    personal data pass unchanged and are not shuffled, null and empty texts among them; columns
+    and their order stay. An empty table gives an empty one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     some = F.lit(False)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -102,6 +104,10 @@ def _around(text: Column, span: Column) -> Column:
             ),
         )
 
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of a value that is computed once, however often ``use`` names it."""
+        return F.transform(F.array(value), use)[0]
+
     # a word cut by the edge of the part, or one that touches the span, is not a whole word
     def before(left_at: Column) -> Column:
         left = text.substr(left_at + 1, span["start"] - left_at)
@@ -109,8 +115,8 @@ def _around(text: Column, span: Column) -> Column:
             placed(left, left_at),
             lambda w: ((w["start"] > left_at) | (left_at == 0)) & (w["end"] < span["start"]),
         )
-        first = F.greatest(F.size(whole) - CONTEXT_WORDS + 1, F.lit(1))
-        return F.slice(whole, first, CONTEXT_WORDS)
+        first = lambda w: F.greatest(F.size(w) - CONTEXT_WORDS + 1, F.lit(1))
+        return once(whole, lambda w: F.slice(w, first(w), CONTEXT_WORDS))
 
     def after(right_to: Column) -> Column:
         right = text.substr(span["end"] + 1, right_to - span["end"])
@@ -125,13 +131,12 @@ def _around(text: Column, span: Column) -> Column:
     for chars in reversed(CONTEXT_CHARS):
         left_at = F.greatest(span["start"] - chars, F.lit(0))
         right_to = F.least(span["end"] + chars, F.length(text))
-        left, right = before(left_at), after(right_to)
-        near_left = F.when((left_at == 0) | (F.size(left) == CONTEXT_WORDS), left).otherwise(
-            near_left
+        to_left = lambda w, at=left_at: F.when((at == 0) | (F.size(w) == CONTEXT_WORDS), w)
+        to_right = lambda w, at=right_to: F.when(
+            (at == F.length(text)) | (F.size(w) == CONTEXT_WORDS), w
         )
-        near_right = F.when(
-            (right_to == F.length(text)) | (F.size(right) == CONTEXT_WORDS), right
-        ).otherwise(near_right)
+        near_left = F.coalesce(once(before(left_at), lambda w: to_left(w)), near_left)
+        near_right = F.coalesce(once(after(right_to), lambda w: to_right(w)), near_right)
     return F.concat(near_left, near_right)
 
 

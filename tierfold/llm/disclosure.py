@@ -11,15 +11,16 @@ from tierfold.llm.common import SPACE, WORD, ascii_lower, keeps_columns, written
 
 # Loops are possessive where nothing can follow that they could give back, which keeps the
 # matching free of recursion and of repeated tries on long runs. A match may begin inside a
-# run of its own characters only where another match ended.
+# run of its own characters only where another match ended. Numbers begin with their digit
+# and look back after it, as most places of a text have none and are passed at once.
 EMAIL = (
     r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 )
-IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
+IP = r"[0-9](?<![0-9][0-9])[0-9]*+\.[0-9]++\.[0-9]++\.[0-9]++"
 IP_PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 # whole runs of digits with single separators, of 12 to 19 digits
 CARD = (
-    r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])"
+    r"[0-9](?<![0-9][0-9])(?<![0-9][\x20-][0-9])(?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])"
 )
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")

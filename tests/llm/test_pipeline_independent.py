@@ -1,0 +1,215 @@
+"""The whole pipeline against a plain version of its five stages over planted documents."""
+
+from __future__ import annotations
+
+import math
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from tierfold.llm.lattice import load_vocabulary
+from tierfold.llm.nbest import decoded
+from test_duplicates import components, slow_fingerprint
+from test_filters_and_pipeline import best_distance, brute_spans
+
+PASSAGE = "Which of the seven rivers named in the old chart runs north before it meets the sea?"
+SECOND = "Name the smallest number of coins that pays any price up to one hundred exactly."
+
+
+def planted():
+    """doc_id, text, lang, source by what is planted."""
+    random.seed(11)
+
+    def prose(n):
+        return " ".join("".join(random.choices("abcdefghij", k=random.randint(2, 9))) for _ in range(n))
+
+    texts = {i: (prose(40) + "\n" + prose(15), "h") for i in range(30)}
+    # a line of 14 texts of a host, above its limit; those of 200 to 202 hold hardly more
+    texts |= {100 + i: (f"Menu   Home and all pages\n{prose(30)}", "g") for i in range(14)}
+    texts |= {200 + i: ("Menu Home and all pages\n" * 5 + f"x{i}", "g") for i in range(3)}
+    texts |= {203 + i: (f"menu home and all pages\nmenu home and all pages {i}\n{prose(25)}", "g") for i in range(2)}
+    texts |= {300: ("too few words here", "h"), 301: (None, "h"), 302: ("", None)}
+    texts |= {303: (" ".join(["one two three four five six seven eight"] * 6), "h")}
+    copied, long = prose(60), prose(400)
+    texts |= {400 + i: (copied, "h" if i % 2 else "g") for i in range(5)}
+    texts |= {410: (long, "h"), 411: (long + " tail", "h"), 412: ("head " + long, "g"), 413: (prose(400), "h")}
+    texts |= {
+        500: (f"{prose(20)} {PASSAGE} {prose(20)}", "h"),
+        501: (f"{prose(20)}\n{PASSAGE.upper().replace(' ', '  ')}\n{prose(20)}", "h"),
+        502: (f"{prose(20)} {SECOND.replace('coins', 'coinz').replace('price', 'prce')} {prose(20)}", "g"),
+        503: (f"{prose(20)} {SECOND[:40]} {prose(20)}", "g"),
+    }
+    texts |= {
+        600 + i: (f"{prose(20)} letter by Zyxwora from zy@only.example of day {prose(12)}", "h")
+        for i in range(3)
+    }
+    texts |= {603: (f"{prose(22)} Zyxwora came alone {prose(10)}", "h")}
+    texts |= {604: (f"{prose(22)} Qqword asks me@one.example {prose(10)}", "g")}
+    texts |= {605: (f"{prose(10)} call +49 30 1234567 or 10.0.0.255, not 300.1.2.3, {prose(12)}", "g")}
+    texts |= {606: (f"{prose(10)} pay 4111 1111 1111 1111 not 4111 1111 1111 1112 {prose(12)}", "g")}
+    texts |= {607: (f"{prose(10)} Pqname near +49 30 7654321 {prose(12)}", "g")}
+    texts |= {608: (f"{prose(25)} Pqname and café 中 {prose(12)}", "g")}
+    return texts
+
+
+def words_of(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text)
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m[0].lower(), text)
+
+
+def by_quality(texts):
+    contents, holders = defaultdict(set), defaultdict(set)
+    line_of = lambda x: " ".join(words_of(low(x)))
+    for text, host in texts.values():
+        contents[host or ""].add(text or "")
+        for x in (text or "").split("\n"):
+            holders[host or "", line_of(x)].add(text)
+    out = {}
+    for i, (text, host) in texts.items():
+        text, host = text or "", host or ""
+        words = words_of(text)
+        windows = Counter(tuple(words[k : k + 8]) for k in range(len(words) - 7))
+        repeated = {
+            j for k in range(len(words) - 7) if windows[tuple(words[k : k + 8])] > 1
+            for j in range(k, k + 8)
+        }
+        limit = max(10, 0.01 * len(contents[host]))
+        left = [
+            x for x in text.split("\n")
+            if not words_of(x) or len(holders[host, line_of(x)]) <= limit
+        ]
+        n_left = len(words_of("\n".join(left)))
+        if len(words) >= 20 and 100 * len(repeated) <= 30 * len(words) and n_left >= 0.2 * len(words):
+            out[i] = "\n".join(left)
+    return out
+
+
+def by_fingerprint(texts):
+    prints = {i: slow_fingerprint(t) for i, t in texts.items()}
+    near = [(a, b) for a in prints for b in prints if a < b and (prints[a] ^ prints[b]).bit_count() <= 2]
+    return {i: texts[i] for i, first in components(near, list(prints)).items() if i == first}
+
+
+def by_benchmark(texts, items):
+    def points(text):
+        return np.array([ord(c) for c in " ".join(words_of(low(text)))])
+
+    def holds(text):
+        return any(
+            best_distance(points(text), p) <= min(int(0.08 * len(p)), (len(p) - 8) // 8)
+            for p in map(points, items)
+        )
+
+    return {i: t for i, t in texts.items() if not holds(t)}
+
+
+def by_disclosure(texts):
+    near, of_entity, of_term, holders = defaultdict(dict), Counter(), Counter(), defaultdict(set)
+    places = {}
+    for i, text in texts.items():
+        for term in {low(w) for w in words_of(text)}:
+            of_term[term] += 1
+            holders[term].add(text)
+        places[i] = []
+        spans = brute_spans(text)
+        of_entity.update({f"{kind} {low(text[a:e])}" for a, _, e, kind in spans})
+        for a, _, e, kind in spans:
+            whole = [(m.start(), m.end()) for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+            # a word that reaches into the span's own word is cut there and is not whole
+            around = [w for w in whole if w[1] < a][-10:] + [w for w in whole if w[0] > e][:10]
+            for start, end in around:
+                pair = f"{kind} {low(text[a:e])}", low(text[start:end])
+                near[pair][i] = text
+                places[i].append((start, end, pair))
+    share = {}
+    for (entity, term), found in near.items():
+        known = math.log(len(texts) / of_entity[entity])
+        pmi = math.log(len(found) * len(texts) / (of_entity[entity] * of_term[term]))
+        if known > 0 and (len(set(found.values())) >= 2 or len(holders[term]) >= 2) and pmi / known >= 0.8:
+            share[entity, term] = pmi / known
+    out = {}
+    for i, text in texts.items():
+        base = [(a, k, e, 1.0) for a, k, e, _ in brute_spans(text)]
+        terms = {}
+        for start, end, pair in places[i]:
+            if pair in share and not any(a < end and start < e for a, _, e, _ in base):
+                terms[start, end] = max(share[pair], terms.get((start, end), 0))
+        at, made = 0, ""
+        for a, k, e, s in sorted(base + [(a, 4, e, s) for (a, e), s in terms.items()]):
+            if a >= at:
+                made += text[at:a]
+                made += "" if k == 4 and s >= 1 else f"[{('EMAIL', 'IP', 'CARD', 'PHONE', 'TERM')[k]}]"
+            at = max(at, e)
+        out[i] = made + text[at:]
+    return out
+
+
+def best_score(text, vocabulary):
+    """Viterbi over the whole text; characters without a piece go by bytes."""
+    raw, first_byte = (" " + text).encode(), len(vocabulary.pieces)
+    starts = np.cumsum([0] + [len(c.encode()) for c in " " + text]).tolist()
+    best = {0: 0.0}
+    for at, end in zip(starts, starts[1:], strict=False):
+        steps = [
+            (k, vocabulary.scores[vocabulary.slots[raw[at:k]]])
+            for k in range(at + 1, min(len(raw), at + vocabulary.longest) + 1)
+            if raw[at:k] in vocabulary.slots
+        ]
+        if raw[at:end] not in vocabulary.slots:
+            steps.append((end, sum(vocabulary.scores[first_byte + b] for b in raw[at:end])))
+        for k, s in steps:
+            best[k] = max(best.get(k, -math.inf), best[at] + s)
+    return best[len(raw)]
+
+
+@pytest.fixture(scope="module")
+def planted_dir(spark, tmp_path_factory):
+    place = tmp_path_factory.mktemp("planted")
+    rows = [(i, t, "en", host, len(t or "")) for i, (t, host) in planted().items()]
+    spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long"
+    ).repartition(4).write.parquet(f"{place}/documents.parquet")
+    spark.createDataFrame(
+        [(1, PASSAGE), (2, SECOND), (3, None)], "item_id long, text string"
+    ).write.parquet(f"{place}/benchmark.parquet")
+    return str(place)
+
+
+def test_pipeline_against_plain_stages(spark, planted_dir):
+    plain = [by_quality(planted())]
+    plain.append(by_fingerprint(plain[-1]))
+    plain.append(by_benchmark(plain[-1], [PASSAGE, SECOND]))
+    plain.append(by_disclosure(plain[-1]))
+
+    docs = spark.read.parquet(f"{planted_dir}/documents.parquet")
+    for (name, stage), truth in zip(corpus_pipeline.STAGES, plain, strict=False):
+        docs = stage(spark, docs, planted_dir).cache()
+        found = {r["doc_id"]: (r["text"], r["n_chars"]) for r in docs.collect()}
+        assert found == {i: (t, len(t)) for i, t in truth.items()}, name
+
+    # what was planted is caught, and nothing clean goes
+    quality, dedup, clean, last = plain
+    assert set(planted()) - set(quality) == {200, 201, 202, 300, 301, 302, 303}
+    assert "Menu" not in quality[100] and 203 in quality
+    assert {400, 410, 413} <= set(dedup) and not {401, 402, 403, 404} & set(dedup)
+    assert set(dedup) - set(clean) == {500, 501, 502}
+    assert set(range(30)) <= set(last) and all(last[i] == planted()[i][0] for i in range(30))
+    assert not any("@" in t or "+49" in t or "10.0.0.255" in t for t in last.values())
+    assert "300.1.2.3" in last[605] and "4111 1111 1111 1112" in last[606]
+    assert "Zyxwora" not in "".join(last[600 + i] for i in range(3)) and "Zyxwora" in last[603]
+    assert "Pqname" not in last[607] and "Qqword" in last[604]
+
+    vocabulary = load_vocabulary()
+    made = corpus_pipeline.run(spark, planted_dir).cache()
+    texts = {r["doc_id"]: r["text"] for r in decoded(made).collect()}
+    assert texts == last
+    for r in made.collect():
+        assert math.isclose(r["score"], best_score(last[r["doc_id"]], vocabulary), rel_tol=1e-9)
+        assert r["round_trip"] and len(r["nbest"]) == 4

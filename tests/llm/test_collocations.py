@@ -133,6 +133,45 @@ def test_long_texts_in_sections(spark, monkeypatch):
     assert list(c._sections(b"x" * 500)) == [b"x" * 500]
 
 
+def test_tasks_hold_few_chunks_of_a_file(spark, tmp_path, monkeypatch):
+    """Chunks are rows of megabytes: a page or an Arrow batch of many would be their sum."""
+    seen, count = str(tmp_path / "seen"), c._word_counts
+
+    def noted(batches):
+        def each():
+            for batch in batches:
+                with open(seen, "a") as log:
+                    log.write(f"{batch.num_rows} {batch.nbytes}\n")
+                yield batch
+
+        yield from count(each())
+
+    monkeypatch.setattr(c, "_word_counts", noted)
+    words = [f"w{k}" for k in range(3000)]
+    text = " ".join(words * (c.CHUNK_BYTES // len(" ".join(words)) + 1))
+    docs = spark.createDataFrame([("en", text)] * 6, "lang string, text string").coalesce(1)
+    totals, _, _ = phrase_graph(docs, 10**9)
+    assert [tuple(r) for r in totals.collect()] == [("en", 6 * len(text.split()))]
+
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    (path,) = totals.inputFiles()
+    hadoop = jvm.org.apache.parquet.hadoop
+    file = hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(path), conf)
+    reader = hadoop.ParquetFileReader.open(file)
+    try:
+        (block,) = reader.getFooter().getBlocks()
+        column = next(x for x in block.getColumns() if "tokens" in x.getPath().toDotString())
+        assert block.getRowCount() == 6
+        assert reader.readOffsetIndex(column).getPageCount() == 6
+    finally:
+        reader.close()
+    with open(seen) as log:
+        batches = [tuple(map(int, line.split())) for line in log]
+    assert sum(n for n, _ in batches) == 6
+    assert max(size for _, size in batches) < 2 * c.CHUNK_BYTES
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != str(c.CHUNK_BYTES)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [r.asDict() for r in odd_docs.collect()]
     same(collocations(odd_docs, 2, 50), brute(rows, 2, 50))

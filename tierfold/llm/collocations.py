@@ -12,10 +12,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierfold.llm.common import bitmap, in_bitmap, written
+from tierfold.session import settings_during
 
 LONGEST = 5  # words of a phrase at most; edges have as many, nodes one less
 CHUNK_BYTES = 4 << 20  # of text that shares the numbers of its words
 NO_LANG = "und"
+_BATCH_ROWS = 100_000  # of what a chunk yields
+# A chunk is a row of megabytes. By default Parquet looks at the size of a page after 100 rows
+# and Arrow closes a batch at 64 MB, so that tasks would hold all chunks of a file at once,
+# several times and outside the heap.
+_PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES)}
 _RANK_PARTS = 64  # in which phrases of a language are ranked before the whole language is
 _CHUNK = "lang string, n_words long, tokens binary, words array<binary>"
 _CHUNK_ARROW = pa.schema(
@@ -104,10 +111,11 @@ def _often_met(counts: DataFrame, least: int, log2_bits: int) -> np.ndarray:
     return bitmap(often, "h", log2_bits)
 
 
-def _counted(hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(
-        {"h": pa.array(hashes.view(np.int64)), "c": pa.array(counts.astype(np.int64))}
-    )
+def _counted(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    columns = {"h": pa.array(hashes.view(np.int64)), "c": pa.array(counts.astype(np.int64))}
+    found = pa.RecordBatch.from_pydict(columns)
+    for k in range(0, len(hashes), _BATCH_ROWS):
+        yield found.slice(k, _BATCH_ROWS)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray, list[bytes]]]:
@@ -120,7 +128,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, np.ndarray,
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, tokens, words in _rows(batches):
         counts = np.bincount(tokens, minlength=len(words) + 1)[1:]
-        yield _counted(_hashes(lang, words)[1:], counts)
+        yield from _counted(_hashes(lang, words)[1:], counts)
 
 
 def _pairs(tokens: np.ndarray, often: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -142,7 +150,7 @@ def _pair_counts(words_met: np.ndarray):
         for lang, tokens, words in _rows(batches):
             hashes, often = _often(lang, words, words_met)
             pairs, counts = np.unique(_pairs(tokens, often)[1], return_counts=True)
-            yield _counted(_of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)]), counts)
+            yield from _counted(_of_two(hashes[pairs >> 32], hashes[pairs & (2**32 - 1)]), counts)
 
     return over
 
@@ -171,7 +179,7 @@ def _triple_counts(words_met: np.ndarray, pairs_met: np.ndarray):
         for lang, tokens, words in _rows(batches):
             hashes, often = _often(lang, words, words_met)
             _, found = _triples(tokens, hashes, *_linked(tokens, hashes, often, pairs_met))
-            yield _counted(*np.unique(found, return_counts=True))
+            yield from _counted(*np.unique(found, return_counts=True))
 
     return over
 
@@ -328,20 +336,21 @@ def phrase_graph(
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    chunks = written(texts.mapInArrow(_chunks, _CHUNK), "collocation-chunks")
-    totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-    counted = "h long, c long"
-    words_met = _often_met(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
-    pairs = chunks.mapInArrow(_pair_counts(words_met), counted)
-    pairs_met = _often_met(pairs, least, log2_bits)
-    triples = chunks.mapInArrow(_triple_counts(words_met, pairs_met), counted)
-    triples_met = _often_met(triples, least, log2_bits)
-    grams = chunks.mapInArrow(
-        _edge_counts(words_met, pairs_met, triples_met), "lang string, gram string, size int, c long"
-    )
-    summed = written(
-        grams.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c")), "collocation-grams"
-    )
+    with settings_during(docs.sparkSession, _BATCHES):
+        chunks = written(texts.mapInArrow(_chunks, _CHUNK), "collocation-chunks", **_PAGES)
+        totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
+        counted = "h long, c long"
+        words_met = _often_met(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
+        pairs = chunks.mapInArrow(_pair_counts(words_met), counted)
+        pairs_met = _often_met(pairs, least, log2_bits)
+        triples = chunks.mapInArrow(_triple_counts(words_met, pairs_met), counted)
+        triples_met = _often_met(triples, least, log2_bits)
+        grams = chunks.mapInArrow(
+            _edge_counts(words_met, pairs_met, triples_met), "lang string, gram string, size int, c long"
+        )
+        summed = written(
+            grams.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c")), "collocation-grams"
+        )
     edges = summed.filter(F.col("size") == LONGEST).drop("size")
     ends = summed.filter(F.col("size") < LONGEST).drop("size")
     return totals, written(compacted(edges), "collocation-paths"), ends

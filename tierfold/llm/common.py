@@ -23,19 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, **options: str) -> DataFrame:
     """``df`` evaluated once into the shared checkpoint folder and read from there.
 
     Cuts the lineage at files every executor can read, so that a lost executor repeats
-    nothing above them and values that depend on task numbers stay as they are.
+    nothing above them and values that depend on task numbers stay as they are. ``options``
+    are those of the Parquet writer.
     """
-    return written_at(df, label)[0]
+    return written_at(df, label, **options)[0]
 
 
-def written_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def written_at(df: DataFrame, label: str, **options: str) -> tuple[DataFrame, str]:
     """Same, with the folder, for what is deleted once nothing reads it any more."""
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 

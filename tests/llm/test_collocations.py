@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -172,6 +173,23 @@ def test_tasks_hold_few_chunks_of_a_file(spark, tmp_path, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") != str(c.CHUNK_BYTES)
 
 
+def test_shuffle_files_go_with_each_pass(spark):
+    """The passes shuffle as much as the texts are large; only what the last one made may stay."""
+
+    def files():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        found = disk.getAllFiles().mkString(" ").split()
+        return {f for f in found if "/shuffle_" in f and f.endswith(".data")}
+
+    docs, _ = made(spark, ["some words that come again and again. " * 9] * 40)
+    before = files()
+    collocations(docs, 5)
+    end = time.time() + 20
+    while (left := files() - before) and time.time() < end:
+        time.sleep(0.5)
+    assert not left
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = [r.asDict() for r in odd_docs.collect()]
     same(collocations(odd_docs, 2, 50), brute(rows, 2, 50))

@@ -22,7 +22,11 @@ _BATCH_ROWS = 100_000  # of what a chunk yields
 # and Arrow closes a batch at 64 MB, so that tasks would hold all chunks of a file at once,
 # several times and outside the heap.
 _PAGES = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
-_BATCHES = {"spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES)}
+# Shuffle files go at the end of each pass instead of when the driver collects its garbage.
+_SETTINGS = {
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(CHUNK_BYTES),
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 _RANK_PARTS = 64  # in which phrases of a language are ranked before the whole language is
 _CHUNK = "lang string, n_words long, tokens binary, words array<binary>"
 _CHUNK_ARROW = pa.schema(
@@ -108,11 +112,12 @@ def _of_two(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 def _often_met(counts: DataFrame, least: int, log2_bits: int) -> np.ndarray:
     """The bitmap of all hashes (``h``, ``c``) that are met ``least`` times."""
     often = counts.groupBy("h").agg(F.sum("c").alias("c")).filter(F.col("c") >= least)
-    return bitmap(often, "h", log2_bits)
+    return bitmap(often.select(F.col("h").cast("long").alias("h")), "h", log2_bits)
 
 
 def _counted(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    columns = {"h": pa.array(hashes.view(np.int64)), "c": pa.array(counts.astype(np.int64))}
+    low = hashes.astype(np.uint32).view(np.int32)  # a bitmap looks at no more
+    columns = {"h": pa.array(low), "c": pa.array(counts.astype(np.int64))}
     found = pa.RecordBatch.from_pydict(columns)
     for k in range(0, len(hashes), _BATCH_ROWS):
         yield found.slice(k, _BATCH_ROWS)
@@ -325,10 +330,10 @@ def phrase_graph(
 
     1. Texts become numbers of words in chunks of 4 MB, written once with their words.
     2. Words, then pairs of such words, then triples of such pairs, met less than ``least``
-       times are found by hash; what is passed to the tasks are bitmaps of ``2 ** log2_bits``
-       bits, whatever the corpus. No phrase that is met ``least`` times holds such a word,
-       pair or triple, so pieces end there too; a slot shared by several hashes only leaves
-       more to count.
+       times are found by hashes of 32 bits; what is passed to the tasks are bitmaps of
+       ``2 ** log2_bits`` bits (``log2_bits`` is 32 at most), whatever the corpus. No phrase
+       that is met ``least`` times holds such a word, pair or triple, so pieces end there too;
+       words that share a hash, and hashes that share a slot, only leave more to count.
     3. Every place gives its longest gram: five words, an edge between the nodes of four words
        that overlap in it, or fewer at the end of a piece. Equal grams are added up, by their
        words, first within a chunk.
@@ -336,10 +341,10 @@ def phrase_graph(
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang")
     texts = docs.select(lang, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    with settings_during(docs.sparkSession, _BATCHES):
+    with settings_during(docs.sparkSession, _SETTINGS):
         chunks = written(texts.mapInArrow(_chunks, _CHUNK), "collocation-chunks", **_PAGES)
         totals = chunks.groupBy("lang").agg(F.sum("n_words").alias("n"))
-        counted = "h long, c long"
+        counted = "h int, c long"
         words_met = _often_met(chunks.mapInArrow(_word_counts, counted), least, log2_bits)
         pairs = chunks.mapInArrow(_pair_counts(words_met), counted)
         pairs_met = _often_met(pairs, least, log2_bits)
@@ -351,9 +356,9 @@ def phrase_graph(
         summed = written(
             grams.groupBy("lang", "gram", "size").agg(F.sum("c").alias("c")), "collocation-grams"
         )
-    edges = summed.filter(F.col("size") == LONGEST).drop("size")
-    ends = summed.filter(F.col("size") < LONGEST).drop("size")
-    return totals, written(compacted(edges), "collocation-paths"), ends
+        edges = summed.filter(F.col("size") == LONGEST).drop("size")
+        paths = written(compacted(edges), "collocation-paths")
+    return totals, paths, summed.filter(F.col("size") < LONGEST).drop("size")
 
 
 def gram_counts(paths: DataFrame, ends: DataFrame, least: int = 100) -> DataFrame:
@@ -412,7 +417,8 @@ def collocations(
     gives no rows.
     """
     totals, paths, ends = phrase_graph(docs, least, log2_bits)
-    counts = written(gram_counts(paths, ends, least), "collocation-counts")
+    with settings_during(docs.sparkSession, _SETTINGS):
+        counts = written(gram_counts(paths, ends, least), "collocation-counts")
     phrases = counts.filter("size > 1")
     inner = phrases.select(
         "lang", "f", "gram", "size",
